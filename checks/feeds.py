@@ -17,6 +17,9 @@ SNAPSHOT_DATE = "2024-01-14"
 TOPIC = "Posts"
 GROUP = "g1"
 
+EVENTS = """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+    value DOUBLE, props STRING"""
+
 # Which event types play which feed.
 POSTS = ("view", "error")
 METRICS = ("click",)
@@ -33,7 +36,7 @@ STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def events(spark: SparkSession, sf: str, types: Sequence[str] | None = None) -> DataFrame:
-    rows = spark.read.parquet(f"{sf}/events.parquet")
+    rows = spark.read.schema(EVENTS).parquet(f"{sf}/events.parquet")
     return rows if types is None else rows.where(F.col("event_type").isin(*types))
 
 
@@ -219,15 +222,13 @@ def topic_partitions(spark: SparkSession) -> DataFrame:
 def plain(df: DataFrame) -> DataFrame:
     """Dates, times and arrays as text, so that engines agree on every value."""
     shown = []
-    for field in df.schema:
-        kind = field.dataType.typeName()
+    for name, kind in df.dtypes:
         if kind in ("timestamp", "timestamp_ntz"):
-            shown.append(F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name))
+            shown.append(f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as {name}")
         elif kind == "date":
-            shown.append(F.col(field.name).cast("string").alias(field.name))
-        elif kind == "array":
-            text = F.array_join(F.col(field.name).cast("array<string>"), ",")
-            shown.append(text.alias(field.name))
+            shown.append(f"cast({name} as string) as {name}")
+        elif kind.startswith("array"):
+            shown.append(f"array_join(cast({name} as array<string>), ',') as {name}")
         else:
-            shown.append(F.col(field.name))
-    return df.select(*shown)
+            shown.append(f"`{name}`")
+    return df.selectExpr(*shown)

@@ -177,6 +177,10 @@ def batched(size: int) -> str:
     {show_merged('merged')}"""
 
 
+REPLACED = f"""{MERGED} {show_merged(f'''(
+      {merged_columns('merged')} union all
+      {merged_columns(f'(select * from hist where not {PROCESSED})')})''')}"""
+
 LOG = f"""select cast(user_id % 16 as int) kafkapartition, max(event_id) latestoffset,
       '{TOPIC}' topic, '{GROUP}' consumergroup, {DAY} execdate,
       strftime(ts, '%H') || '-00' exectime
@@ -291,6 +295,7 @@ SQL: dict[str, str] = {
     "union_history_delta": f"""with {SNAPSHOT} select * {BLOG_TEXT} from (
       select * from snap union all by name select * from ({blogs()}))""",
     "merge_blogs": MERGED_BLOGS,
+    "merge_blogs_bucketed": MERGED_BLOGS,
     "merge_blogs_first_run": f"with {SNAPSHOT} select * {BLOG_TEXT} from fresh",
     "latest_per_key": newest("lineitem", "l_orderkey", LINE_ORDER).replace(
         "* exclude (rn)",
@@ -318,9 +323,8 @@ SQL: dict[str, str] = {
       from (select * {text_time('partdate', 'currenttimestamp')},
         cast(partdate as date) day_ from ({posts(ALL)}))""",
     "sink_snapshot": f"""with {SNAPSHOT} select * {BLOG_TEXT} from snap""",
-    "replace_partitions": f"""{MERGED} {show_merged(f'''(
-      {merged_columns('merged')} union all
-      {merged_columns(f'(select * from hist where not {PROCESSED})')})''')}""",
+    "merge_posts_bucketed": REPLACED,
+    "replace_partitions": REPLACED,
     "retention_keep": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') o_orderdate, o_orderpriority
     from orders where not (cast(o_orderdate as date)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,13 @@ from feedmerge import functions as fn
 from feedmerge import operators as op
 from feedmerge import plans
 from feedmerge.operators.join import DAY, days_of_range
-from feedmerge.plans.merge_posts import read_stored_posts, write_stored_posts
+from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_table
+from feedmerge.plans.merge_posts import (
+    create_posts_table,
+    merge_posts_table,
+    read_stored_posts,
+    write_stored_posts,
+)
 from feedmerge.schemas import (
     MERGED_POSTS,
     METRICS_DELTA,
@@ -33,6 +40,7 @@ from feedmerge.sinks import (
     write_snapshot,
 )
 from feedmerge.sinks.retention import remove_days
+from feedmerge.sinks.tables import replace_table_days
 from feedmerge.sources import files, log
 from feedmerge.streaming import stream_ingest, stream_upsert_blogs, stream_upsert_posts
 from feedmerge.streaming.upsert import read_version
@@ -423,6 +431,30 @@ def replace_partitions_query(spark, sf):
     return spark.read.parquet(path).select(*MERGED_POSTS)
 
 
+@query
+def merge_blogs_bucketed(spark, sf):
+    base, table = scratch_dir(spark, "bucketed"), f"accounts_{uuid.uuid4().hex}"
+    create_blogs_table(spark, table, 8, f"{base}/table")
+    old = snapshot(spark, sf).withColumn("snapshotdate", F.lit(SNAPSHOT_DATE).cast("date"))
+    replace_table_days(old, table)
+    feeds.blogs(spark, sf).write.parquet(f"{files.day_path(base + '/blogs', EXEC_DATE)}/06-00")
+    merge_blogs_table(spark, f"{base}/blogs", table, EXEC_DATE)
+    today = spark.table(table).where(F.col("snapshotdate") == F.lit(EXEC_DATE).cast("date"))
+    return today.drop("snapshotdate")
+
+
+@query
+def merge_posts_bucketed(spark, sf):
+    base, table = scratch_dir(spark, "bucketed"), f"posts_{uuid.uuid4().hex}"
+    create_posts_table(spark, table, 8, f"{base}/table")
+    old = history(spark, sf).withColumn("partdate", F.col(POST_DATE))
+    replace_table_days(old, table)
+    for name, rows in {"posts": feeds.posts, "metrics": feeds.metrics}.items():
+        rows(spark, sf).write.parquet(f"{files.day_path(f'{base}/{name}', EXEC_DATE)}/06-00")
+    merge_posts_table(spark, f"{base}/posts", f"{base}/metrics", table, EXEC_DATE, LOWER)
+    return spark.table(table).select(*MERGED_POSTS)
+
+
 # Retention
 
 
@@ -516,8 +548,7 @@ def run_window(spark, sf):
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events as a file stream; the pattern fits a file and a folder of that name."""
-    schema = feeds.events(spark, sf).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
+    return spark.readStream.schema(feeds.EVENTS).parquet(f"{sf}/events.parquet*")
 
 
 def streamed(spark, sf, feed, messages, fields) -> DataFrame:

@@ -122,8 +122,8 @@ def topic_ids(column: Column | str = "Topics") -> Column:
 
 def _flatten(decoded: DataFrame, paths: dict[str, str], now: Column | None) -> DataFrame:
     clock = F.current_timestamp() if now is None else now
-    return decoded.withColumn("currenttimestamp", clock).select(
-        *[F.col(path).alias(name) for name, path in paths.items()]
+    return decoded.withColumn("currenttimestamp", clock).selectExpr(
+        *[f"{path} as {name}" for name, path in paths.items()]
     )
 
 

@@ -71,18 +71,17 @@ def _resolve(joined: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
     """Pick keys from the side that has them, and counts from the metric first."""
     names = {"id": POST_KEY, DAY: POST_DATE}
     used = {c for pair in keys for c in pair} | set(COUNT_OVERRIDES.values())
-    kept = []
-    for c in joined.columns:
-        if c in COUNT_OVERRIDES:
-            kept.append(F.coalesce(COUNT_OVERRIDES[c], c).alias(c))
-        elif c not in used:
-            kept.append(F.col(c))
+    kept = [
+        f"coalesce(`{COUNT_OVERRIDES[c]}`, `{c}`) as `{c}`" if c in COUNT_OVERRIDES else f"`{c}`"
+        for c in joined.columns
+        if c not in used
+    ]
     # The date goes before the key, as in the merged schema.
     ends = [
-        F.coalesce(left, right).alias(names.get(left, left))
+        f"coalesce(`{left}`, `{right}`) as `{names.get(left, left)}`"
         for left, right in sorted(keys, key=lambda pair: pair[0] == "id")
     ]
-    return joined.select(*kept, *ends)
+    return joined.selectExpr(*kept, *ends)
 
 
 def join_posts_metrics(posts: DataFrame, metrics: DataFrame) -> DataFrame:

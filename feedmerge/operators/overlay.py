@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmerge.operators.latest import latest_per_key
@@ -22,17 +22,33 @@ HISTORY_TIEBREAK = (
 
 def conform(df: DataFrame, fields: dict[str, str] = MERGED_POSTS) -> DataFrame:
     """The given columns in the given order; those missing are null."""
-    present = set(df.columns)
-    return df.select(
-        *[c if c in present else F.lit(None).cast(kind).alias(c) for c, kind in fields.items()]
+    present = df.columns
+    if present == list(fields):
+        return df
+    return df.selectExpr(
+        *[f"`{c}`" if c in present else f"cast(null as {t}) as `{c}`" for c, t in fields.items()]
     )
 
 
+STORED = "__stored_"
+
+
+def _match(keys: Sequence[str], spread_by: Sequence[str] | None) -> list[Column]:
+    """Equal keys of a delta and a history whose columns are prefixed."""
+    pairs = [(k, F.col(STORED + k), F.col(k)) for k in keys]
+    # A key that does not spread is compared as a range, which keeps it out of
+    # the keys that the join is planned on.
+    return [
+        h == d if spread_by is None or k in spread_by else (h >= d) & (h <= d) for k, h, d in pairs
+    ]
+
+
 def overlay_history(
     delta: DataFrame,
     history: DataFrame,
     keys: Sequence[str] = OVERLAY_KEYS,
     fields: dict[str, str] = MERGED_POSTS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Non-null delta values win, otherwise history stays; a null key matches nothing.
 
@@ -40,25 +56,30 @@ def overlay_history(
     history lacks. Both parts keep the hash partitioning of the keys, so a dedupe
     on more columns needs no further shuffle, and AQE can split a hot history
     key. ``delta`` should have one row per key.
+
+    If both sides are spread by some of the keys already, name these in
+    ``spread_by``: the join uses that spread and shuffles neither side.
     """
-    new, old = conform(delta, fields), conform(history, fields)
-    d, h = new.alias("d"), old.alias("h")
-    match = [F.col(f"h.{k}") == F.col(f"d.{k}") for k in keys]
-    updated = h.join(d, match, "left").select(
+    # Renamed columns and not a table alias: qualified attributes would hide from
+    # the union that both parts are spread alike.
+    new = conform(delta, fields)
+    old = conform(history, fields).selectExpr(*[f"`{c}` as `{STORED}{c}`" for c in fields])
+    match = _match(keys, spread_by)
+    updated = old.join(new, match, "left").selectExpr(
         *[
-            F.col(f"h.{c}").alias(c)
-            if c in keys
-            else F.coalesce(F.col(f"d.{c}"), F.col(f"h.{c}")).alias(c)
+            f"`{STORED}{c}` as `{c}`" if c in keys else f"coalesce(`{c}`, `{STORED}{c}`) as `{c}`"
             for c in fields
         ]
     )
-    stored = old.select(*keys).distinct().alias("h")
-    return updated.unionByName(d.join(stored, match, "left_anti"))
+    stored_keys = old.select(*[STORED + k for k in keys]).distinct()
+    return updated.unionByName(new.join(stored_keys, match, "left_anti"))
 
 
-def merge_history(delta: DataFrame, history: DataFrame) -> DataFrame:
+def merge_history(
+    delta: DataFrame, history: DataFrame, spread_by: Sequence[str] | None = None
+) -> DataFrame:
     """Overlay, then the newest row per post and reading within each post date."""
-    merged = overlay_history(delta, history)
+    merged = overlay_history(delta, history, spread_by=spread_by)
     return latest_per_key(
         merged, [POST_DATE, POST_KEY, "metrictimestamp"], HISTORY_ORDER, HISTORY_TIEBREAK
     )

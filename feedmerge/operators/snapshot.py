@@ -21,13 +21,19 @@ def union_by_name(history: DataFrame, delta: DataFrame) -> DataFrame:
     return history.unionByName(delta, allowMissingColumns=True)
 
 
-def merge_accounts(delta: DataFrame, snapshot: DataFrame | None, merge_date: str) -> DataFrame:
+def merge_accounts(
+    delta: DataFrame, snapshot: DataFrame | None, merge_date: str, buckets: int | None = None
+) -> DataFrame:
     """Newest row per account over the day's delta and the previous snapshot.
 
     One dedupe over the union is enough: the newest row of the union is the
-    newest of the snapshot and the newest of the delta.
+    newest of the snapshot and the newest of the delta. Of a snapshot already
+    spread by account, give the number of ``buckets``: the delta is then brought
+    to the same spread, which the union keeps, and the snapshot is not shuffled.
     """
     fresh = delta.withColumn("mergedate", F.lit(merge_date))
     if snapshot is None:
         return latest_accounts(fresh)
+    if buckets is not None:
+        fresh = latest_accounts(fresh).repartition(buckets, ACCOUNT_KEY)
     return latest_accounts(union_by_name(snapshot, fresh))

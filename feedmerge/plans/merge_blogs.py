@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from feedmerge.functions.dates import DateLike, parse_day
 from feedmerge.operators.snapshot import ACCOUNT_KEY, merge_accounts
+from feedmerge.schemas import BLOGS_DELTA
 from feedmerge.sinks.files import write_snapshot
+from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
 from feedmerge.sources.files import day_path, read_day, read_if_exists, read_snapshot_before
 
 
@@ -32,3 +35,38 @@ def merge_blogs(
         snapshot = read_if_exists(spark, day_path(merged_path, prev_exec_date))
     merged = merge_accounts(read_day(spark, blogs_path, day), snapshot, f"{day:%Y%m%d}")
     return write_snapshot(merged, merged_path, day, ACCOUNT_KEY, files)
+
+
+SNAPSHOT_DAY = "snapshotdate"
+
+
+def create_blogs_table(
+    spark: SparkSession, table: str, buckets: int, path: str | None = None
+) -> None:
+    """A table with one snapshot per day, bucketed by account."""
+    fields = {**BLOGS_DELTA, "mergedate": "STRING"}
+    create_bucketed(spark, table, fields, SNAPSHOT_DAY, ACCOUNT_KEY, buckets, path)
+
+
+def merge_blogs_table(
+    spark: SparkSession, blogs_path: str, table: str, exec_date: DateLike
+) -> None:
+    """``merge_blogs`` into a table of ``create_blogs_table``."""
+    day = parse_day(exec_date)
+    stored = spark.table(table)
+    # Partition values only: the newest day comes from the table's metadata.
+    previous = max(
+        (
+            found
+            for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+            if (found := parse_day(row[0].partition("=")[2])) < day
+        ),
+        default=None,
+    )
+    snapshot = None
+    if previous is not None:
+        snapshot = stored.where(F.col(SNAPSHOT_DAY) == F.lit(previous)).drop(SNAPSHOT_DAY)
+    merged = merge_accounts(
+        read_day(spark, blogs_path, day), snapshot, f"{day:%Y%m%d}", bucket_count(spark, table)
+    )
+    replace_table_days(merged.withColumn(SNAPSHOT_DAY, F.lit(day)), table)

@@ -15,9 +15,17 @@ from feedmerge.operators.join import (
     number_batches,
 )
 from feedmerge.operators.overlay import conform, merge_history
-from feedmerge.schemas import METRICS_DELTA, POST_DATE, POST_KEY, POSTS_DELTA, ddl
+from feedmerge.schemas import (
+    MERGED_POSTS,
+    METRICS_DELTA,
+    POST_DATE,
+    POST_KEY,
+    POSTS_DELTA,
+    ddl,
+)
 from feedmerge.session import configure
 from feedmerge.sinks.files import replace_partitions
+from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
 from feedmerge.sources.files import read_day, read_history
 
 STORED_DATE = "partdate"
@@ -69,15 +77,22 @@ def merge_posts_metrics(
     upper: DateLike,
     batch_size: int | None = None,
     dates_from: str = "posts",
+    buckets: int | None = None,
 ) -> DataFrame:
-    """New content of every processed post date; other dates are not returned."""
+    """New content of every processed post date; other dates are not returned.
+
+    Of a history already spread by post, give the number of ``buckets``: the
+    overlay then meets it there, and the history is not shuffled.
+    """
     delta, days = daily_delta(posts, metrics, lower, upper, batch_size, dates_from)
     # Stated before the overlay, so that both of its parts share one shuffle.
     delta = conform(delta).where(F.col(POST_KEY).isNotNull() & F.col(POST_DATE).isNotNull())
     if history is None:
         return delta
     touched = history.join(days.withColumnRenamed(DAY, POST_DATE), POST_DATE, "left_semi")
-    return merge_history(delta, touched)
+    if buckets is None:
+        return merge_history(delta, touched)
+    return merge_history(delta.repartition(buckets, POST_KEY), touched, spread_by=[POST_KEY])
 
 
 def read_stored_posts(
@@ -116,3 +131,38 @@ def merge_posts(
     history = read_stored_posts(spark, merged_path, lower, upper)
     merged = merge_posts_metrics(posts, metrics, history, lower, upper, batch_size, dates_from)
     write_stored_posts(merged, merged_path)
+
+
+def create_posts_table(
+    spark: SparkSession, table: str, buckets: int, path: str | None = None
+) -> None:
+    """Merged posts by post date, bucketed by post."""
+    create_bucketed(spark, table, MERGED_POSTS, STORED_DATE, POST_KEY, buckets, path)
+
+
+def merge_posts_table(
+    spark: SparkSession,
+    posts_path: str,
+    metrics_path: str,
+    table: str,
+    exec_date: DateLike,
+    lower: DateLike,
+    format: str = "parquet",
+    batch_size: int | None = None,
+    dates_from: str = "posts",
+) -> None:
+    """``merge_posts`` into a table of ``create_posts_table``.
+
+    Only the day's deltas are shuffled. Merges leave one row per post and date,
+    so no bucket of such a table can grow by one hot post.
+    """
+    configure(spark)
+    upper = parse_day(exec_date)
+    posts = read_day(spark, posts_path, upper, ddl(POSTS_DELTA), format)
+    metrics = read_day(spark, metrics_path, upper, ddl(METRICS_DELTA), format)
+    stored = spark.table(table).where(F.col(STORED_DATE).between(F.lit(parse_day(lower)), F.lit(upper)))
+    history = stored.drop(POST_DATE).withColumnRenamed(STORED_DATE, POST_DATE)
+    merged = merge_posts_metrics(
+        posts, metrics, history, lower, upper, batch_size, dates_from, bucket_count(spark, table)
+    )
+    replace_table_days(merged.withColumn(STORED_DATE, F.col(POST_DATE)), table)
