@@ -126,9 +126,8 @@ def scan_history_partitions(spark, sf):
     write_stored_posts(history(spark, sf), path)
     stored = read_stored_posts(spark, path, LOWER, EXEC_DATE)
     days = in_range(feeds.posts(spark, sf)).select(F.col(DAY).alias(POST_DATE))
-    return op.filter_days(stored, op.distinct_days(days, POST_DATE), POST_DATE).select(
-        *MERGED_POSTS
-    )
+    days = days_of_range(days, LOWER, EXEC_DATE, POST_DATE)
+    return op.filter_days(stored, days, POST_DATE).select(*MERGED_POSTS)
 
 
 @query
@@ -434,7 +433,7 @@ def replace_partitions_query(spark, sf):
 @query
 def merge_blogs_bucketed(spark, sf):
     base, table = scratch_dir(spark, "bucketed"), f"accounts_{uuid.uuid4().hex}"
-    create_blogs_table(spark, table, 8, f"{base}/table")
+    create_blogs_table(spark, table, 4, f"{base}/table")
     old = snapshot(spark, sf).withColumn("snapshotdate", F.lit(SNAPSHOT_DATE).cast("date"))
     replace_table_days(old, table)
     feeds.blogs(spark, sf).write.parquet(f"{files.day_path(base + '/blogs', EXEC_DATE)}/06-00")
@@ -446,7 +445,7 @@ def merge_blogs_bucketed(spark, sf):
 @query
 def merge_posts_bucketed(spark, sf):
     base, table = scratch_dir(spark, "bucketed"), f"posts_{uuid.uuid4().hex}"
-    create_posts_table(spark, table, 8, f"{base}/table")
+    create_posts_table(spark, table, 4, f"{base}/table")
     old = history(spark, sf).withColumn("partdate", F.col(POST_DATE))
     replace_table_days(old, table)
     for name, rows in {"posts": feeds.posts, "metrics": feeds.metrics}.items():

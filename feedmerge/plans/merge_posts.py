@@ -26,7 +26,7 @@ from feedmerge.schemas import (
 from feedmerge.session import configure
 from feedmerge.sinks.files import replace_partitions
 from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
-from feedmerge.sources.files import read_day, read_history
+from feedmerge.sources.files import near_days, read_day, read_history
 
 STORED_DATE = "partdate"
 
@@ -95,6 +95,19 @@ def merge_posts_metrics(
     return merge_history(delta.repartition(buckets, POST_KEY), touched, spread_by=[POST_KEY])
 
 
+def read_deltas(
+    spark: SparkSession,
+    posts_path: str,
+    metrics_path: str,
+    exec_date: DateLike,
+    lower: DateLike,
+    format: str = "parquet",
+) -> tuple[DataFrame, DataFrame]:
+    posts = read_day(spark, posts_path, exec_date, ddl(POSTS_DELTA), format)
+    metrics = read_day(spark, metrics_path, exec_date, ddl(METRICS_DELTA), format)
+    return near_days(posts, lower, exec_date), near_days(metrics, lower, exec_date)
+
+
 def read_stored_posts(
     spark: SparkSession, path: str, lower: DateLike, upper: DateLike
 ) -> DataFrame | None:
@@ -126,8 +139,7 @@ def merge_posts(
     """
     configure(spark)
     upper = parse_day(exec_date)
-    posts = read_day(spark, posts_path, upper, ddl(POSTS_DELTA), format)
-    metrics = read_day(spark, metrics_path, upper, ddl(METRICS_DELTA), format)
+    posts, metrics = read_deltas(spark, posts_path, metrics_path, upper, lower, format)
     history = read_stored_posts(spark, merged_path, lower, upper)
     merged = merge_posts_metrics(posts, metrics, history, lower, upper, batch_size, dates_from)
     write_stored_posts(merged, merged_path)
@@ -158,8 +170,7 @@ def merge_posts_table(
     """
     configure(spark)
     upper = parse_day(exec_date)
-    posts = read_day(spark, posts_path, upper, ddl(POSTS_DELTA), format)
-    metrics = read_day(spark, metrics_path, upper, ddl(METRICS_DELTA), format)
+    posts, metrics = read_deltas(spark, posts_path, metrics_path, upper, lower, format)
     stored = spark.table(table).where(F.col(STORED_DATE).between(F.lit(parse_day(lower)), F.lit(upper)))
     history = stored.drop(POST_DATE).withColumnRenamed(STORED_DATE, POST_DATE)
     merged = merge_posts_metrics(

@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmerge.functions.dates import DateLike, as_date
-from feedmerge.sources.files import day_path
+from feedmerge.sources.files import FOLDER_DAY, RUN, day_path
 
 
 def run_path(base: str, exec_date: DateLike, run_at: dt.datetime) -> str:
-    """``base/yyyyMMdd/<UTC instant>``: sorts by time, also for runs after midnight."""
+    """``base/yyyyMMdd/run=<UTC instant>``: sorts by time, also for runs after midnight."""
     if run_at.tzinfo is not None:
         run_at = run_at.astimezone(dt.timezone.utc)
-    return f"{day_path(base, exec_date)}/{run_at:%Y%m%dT%H%M%S%f}"
+    return f"{day_path(base, exec_date)}/{RUN}={run_at:%Y%m%dT%H%M%S%f}"
 
 
-def write_run(df: DataFrame, path: str, day_of: str | None = None, day: str = "postdate") -> None:
+def write_run(
+    df: DataFrame, path: str, day_of: str | None = None, day: str = FOLDER_DAY
+) -> None:
     """Write one run, by day folders when ``day_of`` names the dating column.
 
     The rebalance hint gathers each day in few files and splits a day that is

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,10 @@ def read_if_exists(
         raise
 
 
+RUN = "run"
+FOLDER_DAY = "postdate"
+
+
 def day_path(base: str, exec_date: DateLike) -> str:
     return f"{base.rstrip('/')}/{parse_day(exec_date):%Y%m%d}"
 
@@ -37,11 +42,30 @@ def read_day(
     schema: str | None = None,
     format: str = "parquet",
 ) -> DataFrame:
-    """Every run of one day. Without a schema, parquet gives its own."""
-    reader = spark.read.format(format)
+    """Every run of one day. Without a schema, parquet gives its own.
+
+    Run folders may be named ``run=<instant>`` or by anything without a ``=``.
+    """
+    path = day_path(base, exec_date)
+    reader = spark.read.format(format).option("basePath", path)
     if schema:
         reader = reader.schema(schema)
-    return reader.load(f"{day_path(base, exec_date)}/*")
+    return reader.load(f"{path}/*").drop(RUN)
+
+
+def near_days(df: DataFrame, lower: DateLike, upper: DateLike) -> DataFrame:
+    """Skip the day folders of a delta that are clearly outside a range.
+
+    A day to spare on both ends leaves the exact choice to the rows themselves,
+    whatever time zone the folders were named in.
+    """
+    if FOLDER_DAY not in df.columns:
+        return df
+    spare = dt.timedelta(days=1)
+    folder = F.col(FOLDER_DAY).cast("date")
+    return df.where(
+        folder.between(F.lit(parse_day(lower) - spare), F.lit(parse_day(upper) + spare))
+    ).drop(FOLDER_DAY)
 
 
 def read_csv(

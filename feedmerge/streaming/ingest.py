@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedmerge.functions.dates import as_date
 from feedmerge.plans.feeds import Feed
+from feedmerge.sources.files import FOLDER_DAY
 
 
 def stream_ingest(
@@ -25,9 +26,8 @@ def stream_ingest(
     rows = feed.rows(messages, exec_date, now)
     writer = rows.writeStream
     if feed.day_of:
-        writer = rows.withColumn("postdate", as_date(feed.day_of)).writeStream.partitionBy(
-            "postdate"
-        )
+        dated = rows.withColumn(FOLDER_DAY, as_date(feed.day_of))
+        writer = dated.writeStream.partitionBy(FOLDER_DAY)
     return (
         writer.format("parquet")
         .option("path", path)
