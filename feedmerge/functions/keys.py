@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 DIGESTS = {
     "MD5": F.md5,
     "SHA": F.sha1,
+    "SHA1": F.sha1,
     "SHA-1": F.sha1,
     "SHA-224": lambda c: F.sha2(c, 224),
     "SHA-256": lambda c: F.sha2(c, 256),
@@ -15,13 +16,19 @@ DIGESTS = {
     "SHA-512": lambda c: F.sha2(c, 512),
 }
 
+# Digests that exist but that Spark has no expression for.
+WITHOUT_EXPRESSION = ("MD2", "SHA-512/", "SHA3-")
+
 
 def url_key(column: Column | str, algorithm: str = "MD5") -> Column:
     """The first 16 bytes of the digest as 32 hex digits; null stays null.
 
     An algorithm nobody knows gives an empty key, as the feeds expect.
     """
-    digest = DIGESTS.get(algorithm.upper())
+    name = algorithm.upper()
+    if name.startswith(WITHOUT_EXPRESSION):
+        raise NotImplementedError(f"Spark has no {algorithm} digest")
+    digest = DIGESTS.get(name)
     if digest is None:
         return F.lit("")
     return F.substring(digest(F.col(column) if isinstance(column, str) else column), 1, 32)

@@ -44,16 +44,17 @@ def filter_days(df: DataFrame, days: DataFrame | Sequence[DateLike], day: str =
     return df.where(F.col(day).isin([parse_day(d) for d in days]))
 
 
-def days_of_range(df: DataFrame, lower: DateLike, upper: DateLike, day: str = DAY) -> DataFrame:
-    """Distinct days of a frame already limited to a range.
-
-    It has one row per day at most, so it is broadcast when the range is sane.
-    """
-    days = distinct_days(df, day)
+def broadcast_days(days: DataFrame, lower: DateLike, upper: DateLike) -> DataFrame:
+    """Hint a broadcast of a frame with one row per day, if the range is sane."""
     span = (parse_day(upper) - parse_day(lower)).days + 1
     return F.broadcast(days) if span <= MAX_RANGE_DAYS else days
 
 
+def days_of_range(df: DataFrame, lower: DateLike, upper: DateLike, day: str = DAY) -> DataFrame:
+    """Distinct days of a frame already limited to a range, ready to be joined."""
+    return broadcast_days(distinct_days(df, day), lower, upper)
+
+
 def suffix_collisions(right: DataFrame, left: DataFrame, suffix: str = RIGHT_SUFFIX) -> DataFrame:
     """Rename the columns of ``right`` that ``left`` has too, and no others."""
     shared = set(left.columns) & set(right.columns)

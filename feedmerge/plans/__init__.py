@@ -1,5 +1,5 @@
 from feedmerge.plans.feeds import BLOGS, METRICS, POSTS, Feed
-from feedmerge.plans.ingest import ingest
+from feedmerge.plans.ingest import count_rows, ingest
 from feedmerge.plans.merge_blogs import merge_blogs
 from feedmerge.plans.merge_posts import merge_posts, merge_posts_metrics
 
@@ -8,6 +8,7 @@ __all__ = [
     "METRICS",
     "POSTS",
     "Feed",
+    "count_rows",
     "ingest",
     "merge_blogs",
     "merge_posts",

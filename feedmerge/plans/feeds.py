@@ -23,6 +23,7 @@ class Feed:
     json_schema: str
     fields: dict[str, str]
     flatten: Callable[..., DataFrame]
+    key: str
     day_of: str | None = None
 
     def rows(
@@ -37,6 +38,6 @@ class Feed:
         return self.flatten(decoded, exec_date, now)
 
 
-BLOGS = Feed(BLOG_JSON, BLOGS_DELTA, flatten_blogs)
-POSTS = Feed(POST_JSON, POSTS_DELTA, flatten_posts, day_of="partdate")
-METRICS = Feed(METRIC_JSON, METRICS_DELTA, flatten_metrics, day_of="partdate")
+BLOGS = Feed(BLOG_JSON, BLOGS_DELTA, flatten_blogs, "accountid")
+POSTS = Feed(POST_JSON, POSTS_DELTA, flatten_posts, "id", day_of="partdate")
+METRICS = Feed(METRIC_JSON, METRICS_DELTA, flatten_metrics, "id", day_of="partdate")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedmerge.operators.offsets import offsets_of
 from feedmerge.plans.feeds import Feed
@@ -35,3 +36,9 @@ def ingest(
     stamp = f"{run_time:%Y-%m-%dT%H:%M:%S.%f}"
     append_offsets(offsets_of(written, topic, group, exec_date, stamp), offsets_path)
     return path
+
+
+def count_rows(spark: SparkSession, feed: Feed, path: str) -> tuple[int, int]:
+    """Rows of a written run, and those without a key: broken text or no URL."""
+    keys = spark.read.schema(f"{feed.key} STRING").parquet(path)
+    return tuple(keys.select(F.count("*"), F.count_if(F.col(feed.key).isNull())).first())

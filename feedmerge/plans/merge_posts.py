@@ -9,7 +9,8 @@ from feedmerge.functions.dates import DateLike, parse_day
 from feedmerge.operators.join import (
     BATCH,
     DAY,
-    days_of_range,
+    broadcast_days,
+    distinct_days,
     filter_date_range,
     merge_latest_posts_metrics,
     number_batches,
@@ -31,16 +32,14 @@ from feedmerge.sources.files import near_days, read_day, read_history
 STORED_DATE = "partdate"
 
 
-def post_days(
-    posts: DataFrame, metrics: DataFrame, lower: DateLike, upper: DateLike, dates_from: str
-) -> DataFrame:
+def post_days(posts: DataFrame, metrics: DataFrame, dates_from: str) -> DataFrame:
     """The days to process: those with a post, or with either."""
     if dates_from not in ("posts", "both"):
         raise ValueError(f"unknown dates_from {dates_from!r}")
     dated = posts.select(DAY)
     if dates_from == "both":
         dated = dated.union(metrics.select(DAY))
-    return days_of_range(dated, lower, upper)
+    return distinct_days(dated)
 
 
 def daily_delta(
@@ -58,11 +57,12 @@ def daily_delta(
     """
     posts = filter_date_range(posts.where(F.col("id").isNotNull()), "partdate", lower, upper)
     metrics = filter_date_range(metrics.where(F.col("id").isNotNull()), "partdate", lower, upper)
-    days = post_days(posts, metrics, lower, upper, dates_from)
+    found = post_days(posts, metrics, dates_from)
+    days = broadcast_days(found, lower, upper)
     if batch_size is None:
         metrics = metrics.join(days, DAY, "left_semi")
         return merge_latest_posts_metrics(posts, metrics), days
-    batches = F.broadcast(number_batches(days, batch_size))
+    batches = broadcast_days(number_batches(found, batch_size), lower, upper)
     delta = merge_latest_posts_metrics(
         posts.join(batches, DAY), metrics.join(batches, DAY), (BATCH,)
     )

@@ -32,6 +32,8 @@ def test_url_key_of_null_and_of_unknown_digest(spark):
         url_key(F.lit(None).cast("string")), url_key(F.lit("x"), "NOPE")
     ).first()
     assert tuple(row) == (None, "")
+    with pytest.raises(NotImplementedError):
+        url_key(F.lit("x"), "SHA3-256")
 
 
 def test_key_bucket_takes_text(spark):

@@ -1,11 +1,10 @@
 import datetime as dt
-import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import feeds
-from feedmerge.plans import BLOGS, METRICS, POSTS, ingest, merge_blogs, merge_posts
+from feedmerge.plans import BLOGS, POSTS, count_rows, ingest, merge_blogs, merge_posts
 from feedmerge.plans.daily import merge_day
 from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_table
 from feedmerge.plans.merge_posts import (
@@ -60,6 +59,18 @@ def test_ingest_of_an_empty_batch(spark, sf, tmp_path):
     assert spark.read.parquet(path).count() == 0
 
 
+def test_rows_without_key_are_counted(spark, tmp_path):
+    base, log = str(tmp_path / "posts"), str(tmp_path / "offsets")
+    texts = ['{"Url": "u", "CreateDate": "2024-01-06"}', "{broken", '{"Type": 1}']
+    sent = spark.createDataFrame(
+        [(bytearray(t, "utf8"), 0, i) for i, t in enumerate(texts)],
+        "value BINARY, partition INT, offset BIGINT",
+    )
+    path = ingest(POSTS, sent, base, log, "Posts", "g", DAY, NOW)
+    assert count_rows(spark, POSTS, path) == (3, 2)
+    assert spark.read.parquet(log).first().latestoffset == 2
+
+
 def test_run_folders_sort_by_time():
     zone = dt.timezone(dt.timedelta(hours=3))
     evening = run_path("/b", DAY, dt.datetime(2024, 1, 21, 2, 59, tzinfo=zone))
