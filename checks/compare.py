@@ -34,7 +34,8 @@ def session(cores: int = 8) -> SparkSession:
 def tables(sf: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for file in sorted(Path(sf).glob("*.parquet")):
-        db.execute(f"create view {file.stem} as select * from read_parquet('{file}')")
+        source = f"{file}/*.parquet" if file.is_dir() else str(file)
+        db.execute(f"create view {file.stem} as select * from read_parquet('{source}')")
     return db
 
 

@@ -143,6 +143,29 @@ def test_empty_feeds(spark):
     assert run(spark, [], [], history).count() == 0
 
 
+def shuffles(df):
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def wide(spark, make, name):
+    """A feed whose size Spark cannot guess, so that it plans no broadcast."""
+    return make(spark).unionByName(
+        spark.range(100).selectExpr("concat('x', id % 7) id", f"{name} partdate", "id kafkaoffset"),
+        allowMissingColumns=True,
+    )
+
+
+def test_reduced_join_shuffles_each_side_once_and_the_result_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = dated(wide(spark, posts, "timestamp'2024-01-06'"))
+        m = dated(wide(spark, metrics, "'2024-01-06'"))
+        assert shuffles(merge_latest_posts_metrics(p, m)) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 DAY = dt.date(2024, 1, 6)
 
 
@@ -253,3 +276,38 @@ def test_hot_history_key_is_split_and_kept_whole(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert {r[0]: r[1] for r in found} == {True: 10_000, False: 20_000 + 999}
+
+
+def test_hot_id_is_split_in_the_join_of_all_pairs(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    ids = spark.range(0, 30_000, 1, 16)
+    key = "if(id % 3 = 0, 'hot', concat('p', id)) id"
+    p = posts(spark).unionByName(
+        ids.selectExpr(key, "timestamp'2024-01-06' partdate", "md5(string(id)) posturl"),
+        allowMissingColumns=True,
+    )
+    m = metrics(spark).unionByName(
+        ids.where("id > 3").selectExpr(
+            "if(id = 5, 'hot', concat('p', id)) id", "'2024-01-06' partdate", "id likes"
+        ),
+        allowMissingColumns=True,
+    )
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = join_posts_metrics(dated(p), dated(m)).select("post_id", "posturl", "likescount")
+        found = joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    hot = [r for r in found if r.post_id == "hot"]
+    assert len(hot) == 10_000 and {r.likescount for r in hot} == {5}
+    # Every metric but the hot one keeps its own row; posts 1, 2 and 5 have none.
+    assert len(found) == 10_000 + 29_995 + 3
