@@ -30,6 +30,8 @@ def merge_accounts(
     newest of the snapshot and the newest of the delta. Of a snapshot already
     spread by account, give the number of ``buckets``: the delta is then brought
     to the same spread, which the union keeps, and the snapshot is not shuffled.
+    For this, pass the table's scan with all its columns; a projection on top of
+    it would hide the spread from the union.
     """
     fresh = delta.withColumn("mergedate", F.lit(merge_date))
     if snapshot is None:

@@ -63,10 +63,10 @@ def merge_blogs_table(
         ),
         default=None,
     )
+    today = F.lit(day)
+    delta = read_day(spark, blogs_path, day).withColumn(SNAPSHOT_DAY, today)
     snapshot = None
     if previous is not None:
-        snapshot = stored.where(F.col(SNAPSHOT_DAY) == F.lit(previous)).drop(SNAPSHOT_DAY)
-    merged = merge_accounts(
-        read_day(spark, blogs_path, day), snapshot, f"{day:%Y%m%d}", bucket_count(spark, table)
-    )
-    replace_table_days(merged.withColumn(SNAPSHOT_DAY, F.lit(day)), table)
+        snapshot = stored.where(F.col(SNAPSHOT_DAY) == F.lit(previous))
+    merged = merge_accounts(delta, snapshot, f"{day:%Y%m%d}", bucket_count(spark, table))
+    replace_table_days(merged.withColumn(SNAPSHOT_DAY, today), table)

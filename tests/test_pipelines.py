@@ -15,7 +15,7 @@ from feedmerge.plans.merge_posts import (
     read_stored_posts,
     write_stored_posts,
 )
-from feedmerge.operators import filter_date_range
+from feedmerge.operators import filter_date_range, merge_accounts
 from feedmerge.schemas import MERGED_POSTS, METRICS_DELTA, POST_DATE, POSTS_DELTA, ddl
 from feedmerge.sinks import replace_partitions, run_path, write_run
 from feedmerge.sinks.retention import drop_table_days, expired_names, remove_days
@@ -204,6 +204,21 @@ def test_bucketed_history_is_not_shuffled(spark, sf, tmp_path):
     spark.sql("DROP TABLE plan_posts")
 
 
+@pytest.mark.parametrize("buckets", [8, 5])
+def test_bucketed_snapshot_is_not_shuffled(spark, sf, tmp_path, buckets):
+    table = f"plan_blogs_{buckets}"
+    create_blogs_table(spark, table, buckets, str(tmp_path / "table"))
+    old = merge_accounts(feeds.blogs(spark, sf, feeds.OLD_BLOGS), None, "20240114")
+    replace_table_days(old.withColumn("snapshotdate", F.lit(dt.date(2024, 1, 14))), table)
+    snapshot = spark.table(table).where("snapshotdate = date'2024-01-14'")
+    delta = feeds.blogs(spark, sf).withColumn("snapshotdate", F.lit(dt.date(2024, 1, 20)))
+    merged = merge_accounts(delta, snapshot, "20240120", buckets).drop("snapshotdate")
+    text = plan(merged)
+    assert exchanges_above(text, table) == 0 and "Bucketed: true" in text
+    assert rows(merged) == rows(merge_accounts(feeds.blogs(spark, sf), old, "20240120"))
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_blog_merge_into_a_bucketed_table(spark, sf, tmp_path):
     base = str(tmp_path / "blogs")
     create_blogs_table(spark, "bucketed_blogs", 4, str(tmp_path / "table"))
