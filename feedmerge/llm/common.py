@@ -84,6 +84,27 @@ def labelled_sample(
     return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
 
 
+def label_share(labels: DataFrame, label: str) -> float | None:
+    """The share of label 1 among the labels of the training fold."""
+    known = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
+    return known.agg(F.avg(F.col(label).cast("double"))).first()[0]
+
+
+def logistic(x: np.ndarray, y: np.ndarray, prior: float, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, for classes that occur as ``prior`` says."""
+    share = y.mean()
+    weight = np.where(y == 1, prior / share, (1 - prior) / (1 - share))
+    w = np.zeros(x.shape[1])
+    penalty = ridge * len(y) * np.eye(len(w)) / 100
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ w)
+        w += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``most`` bytes of ``column``, or one row."""
     for batch in batches:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, in_one_task, labelled_sample, with_columns
+from .common import held_out, in_one_task, label_share, labelled_sample, logistic, with_columns
 
 PER_CLASS = 2500
 FIT_BYTES = 6 << 20
@@ -70,19 +70,6 @@ def features(measured: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(raw)), evidence * 10, signed * 3, evidence * 10 * long, shrunk, shrunk**2, long, long**2, blocks == 0])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
-    w = np.zeros(x.shape[1])
-    penalty = ridge * len(y) * np.eye(len(w)) / 100
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ w)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
-
-
 def _dictionary(texts: list[str]) -> bytes:
     pieces, total = [], 0
     for text in texts:
@@ -109,17 +96,13 @@ def fit_local(texts: list[str], y: np.ndarray, prior: float) -> QualityModel | N
     bad = _dictionary([texts[i] for i in build if y[i] == 0])
     pair = _compressor(good), _compressor(bad)
     measured = np.array([sizes(texts[i], *pair) for i in rest])
-    target = y[rest]
-    share = target.mean()
-    weight = np.where(target == 1, prior / share, (1 - prior) / (1 - share))
-    return QualityModel(good, bad, tuple(logistic(features(measured), target, weight)))
+    return QualityModel(good, bad, tuple(logistic(features(measured), y[rest], prior)))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel | None:
     """Fit in one task over the bounded sample; only the small model reaches the driver."""
     sample = labelled_sample(docs, labels, label, per_class)
-    ones = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).agg(F.avg(F.col(label).cast("double")))
-    prior = ones.first()[0]
+    prior = label_share(labels, label)
     if prior is None:
         return None
 

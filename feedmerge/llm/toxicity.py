@@ -8,9 +8,11 @@ documents a two-state field is fitted by maximum likelihood; a token's features
 its hashed form, beginnings, ending and neighbours. Forward-backward gives each token
 of a text its marginal probability of lying in a toxic span.
 
-The document score is one minus the probability that none of its tokens with a
-marginal of at least ``FLOOR`` is toxic; offending offsets are the spans of
-consecutive tokens with a marginal of at least one half, in code points.
+A document's evidence is the sum of its marginals of at least ``FLOOR``, alone and
+for its length, its two highest marginals and its number of tokens. A logistic
+calibration, fitted on sample documents the field has not seen, turns them into the
+score. Offending offsets are the spans of consecutive tokens with a marginal of at
+least one half, in code points.
 
 The fit reads at most ``per_class`` labelled documents of each class, and windows of them; scoring
 reads every whole text. Null and empty texts, and texts without a token, score 0.
@@ -30,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, held_out, in_one_task, labelled_sample, with_columns
+from .common import WordCache, held_out, in_one_task, label_share, labelled_sample, logistic, with_columns
 
 PER_CLASS = 2000
 THRESHOLD = 0.3
@@ -38,7 +40,7 @@ FLOOR = 0.02
 WINDOW = 48
 WINDOWS = 3
 MASK = (1 << 18) - 1
-ROUNDS = 40
+ROUNDS = 30
 BLOCK = 64
 
 TOKEN = re.compile(r"[^\W_]+")
@@ -51,6 +53,8 @@ class ToxicityModel:
     #: start[y] and move[y, y'], log scale
     start: np.ndarray
     move: np.ndarray
+    #: calibration of the document score
+    document: np.ndarray
 
 
 def own_features(word: str) -> list[int]:
@@ -127,7 +131,7 @@ def windows(tokens: list[list[str]], y: np.ndarray, known: set[str], rng: np.ran
             hit = set(marks)
             centres = [marks[i] for i in rng.permutation(len(marks))[:WINDOWS]]
         else:
-            hit, centres = set(), list(rng.integers(0, len(words), WINDOWS))
+            hit, centres = set(), [rng.integers(0, len(words))]
         for c in centres:
             a = max(0, int(c) - WINDOW // 2)
             b = min(len(words), a + WINDOW)
@@ -194,16 +198,39 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_local(texts: list[str], y: np.ndarray, seed: int = 7) -> ToxicityModel | None:
-    """Indicators, labelled windows, then gradient ascent on the field's likelihood."""
+def fit_local(texts: list[str], y: np.ndarray, prior: float, seed: int = 7) -> ToxicityModel | None:
+    """The field on two thirds of the sample, the calibration on the rest."""
     tokens = [TOKEN.findall(t.lower()) for t in texts]
     kept = distinct(tokens)
     tokens, y = [tokens[i] for i in kept], y[kept]
-    if not (y == 1).any():
+    rest = np.arange(len(y)) % 3 == 2
+    if len(set(y[rest])) < 2 or len(set(y[~rest])) < 2:
+        rest[:] = True
+    if len(set(y)) < 2:
         return None
+    part = lambda mask: [tokens[i] for i in np.flatnonzero(mask)]
+    some = rest if rest.all() else ~rest
+    weights, start, move = fit_field(part(some), y[some], seed)
+    tagger = Tagger(ToxicityModel(weights, start, move, np.zeros(0)))
+    p, begin, end = tagger.marginals(part(rest))
+    return ToxicityModel(weights, start, move, logistic(evidence_of(p, begin, end), y[rest], prior))
+
+
+def evidence_of(p: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Calibration features of each text from the marginals of its tokens."""
+    found = np.where(p >= FLOOR, p, 0.0)
+    total = np.concatenate(([0.0], np.cumsum(found)))
+    mass, size = total[end] - total[begin], end - begin
+    top = np.zeros((len(size), 2))
+    for i in np.flatnonzero(mass > 0):
+        high = found[begin[i] : end[i]]
+        top[i, : min(2, len(high))] = np.sort(high)[::-1][:2]
+    return np.column_stack([np.ones(len(size)), np.log1p(mass), np.minimum(mass, 2), mass / (size + 20) * 50, top, np.log1p(size) / 5])
+
+
+def fit_field(tokens: list[list[str]], y: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indicators, labelled windows, then gradient ascent on the field's likelihood."""
     known = indicators(tokens, y)
-    if not known or not (y == 0).any():
-        return None
     made = list(windows(tokens, y, known, np.random.default_rng(seed)))
     count, width = len(made), WINDOW
     index = np.full((count, width, 8), MASK + 1, np.int32)  # the last weight stays 0
@@ -242,7 +269,7 @@ def fit_local(texts: list[str], y: np.ndarray, seed: int = 7) -> ToxicityModel |
             g = g - ridge * x
             q += g * g
             x += rate * g / np.sqrt(q)
-    return ToxicityModel(weights.astype(np.float32), start, move)
+    return weights.astype(np.float32), start, move
 
 
 def _expectations(score: np.ndarray, real: np.ndarray, start: np.ndarray, move: np.ndarray):
@@ -274,56 +301,69 @@ def _expectations(score: np.ndarray, real: np.ndarray, start: np.ndarray, move:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> ToxicityModel | None:
     """Fit in one task over the bounded sample; only the weights reach the driver."""
     sample = labelled_sample(docs, labels, label, per_class)
+    prior = label_share(labels, label)
+    if prior is None:
+        return None
 
     def run(pdf):
         import pandas as pd
 
         pdf = pdf.sort_values(["doc_id", "text"])
-        model = fit_local(list(pdf["text"]), pdf["label"].to_numpy())
-        rows = [] if model is None else [(model.weights.tobytes(), [float(x) for x in model.start], [float(x) for x in model.move.ravel()])]
-        return pd.DataFrame(rows, columns=["weights", "start", "move"])
+        model = fit_local(list(pdf["text"]), pdf["label"].to_numpy(), prior)
+        rows = [] if model is None else [(model.weights.tobytes(), *([float(x) for x in v.ravel()] for v in (model.start, model.move, model.document)))]
+        return pd.DataFrame(rows, columns=["weights", "start", "move", "document"])
 
-    row = in_one_task(sample, run, "weights binary, start array<double>, move array<double>").first()
+    row = in_one_task(sample, run, "weights binary, start array<double>, move array<double>, document array<double>").first()
     if row is None:
         return None
-    return ToxicityModel(np.frombuffer(row.weights, np.float32), np.array(row.start), np.array(row.move).reshape(2, 2))
+    return ToxicityModel(np.frombuffer(row.weights, np.float32), np.array(row.start), np.array(row.move).reshape(2, 2), np.array(row.document))
+
+
+class Tagger:
+    """Marginals of the tokens of many texts under a fitted field."""
+
+    def __init__(self, model: ToxicityModel):
+        self.model = model
+        self.weights = model.weights.astype(float)
+        self.cache = WordCache(self._of_words)
+
+    def _of_words(self, words: list[str]) -> np.ndarray:
+        """Own weight, weight lent to the token after, weight lent to the token before."""
+        out = np.zeros((len(words), 3))
+        if words:
+            out[:, 0] = self.weights[np.array([own_features(w) for w in words])].sum(axis=1)
+            out[:, 1:] = self.weights[np.array([neighbour_features(w) for w in words])]
+        return out
+
+    def marginals(self, tokens: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One value for each token, and where each text's tokens begin and end."""
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        values = self.cache.values([w for some in tokens for w in some])
+        end = np.cumsum(size)
+        begin = end - size
+        first = np.zeros(len(values), bool)
+        first[begin[size > 0]] = True
+        score = values[:, 0].copy()
+        if len(score):
+            score[1:] += np.where(first[1:], 0, values[:-1, 1])
+            score[:-1] += np.where(first[1:], 0, values[1:, 2])
+        return chain(score, first, self.model.start, self.model.move), begin, end
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "text") -> DataFrame:
     """``docs`` with ``toxicity`` (0 to 1) and ``toxic_spans``, an array of (start, end, score)."""
 
     def make():
-        weights = None if model is None else model.weights.astype(float)
-
-        def compute(words):
-            """Own weight, weight lent to the token after, weight lent to the token before."""
-            out = np.zeros((len(words), 3))
-            if words:
-                out[:, 0] = weights[np.array([own_features(w) for w in words])].sum(axis=1)
-                out[:, 1:] = weights[np.array([neighbour_features(w) for w in words])]
-            return out
-
-        cache = WordCache(compute)
+        tagger = None if model is None else Tagger(model)
 
         def work(batch):
             texts = batch.column(text).to_pylist()
             if model is None:
                 return {"toxicity": [0.0] * len(texts), "toxic_spans": [[] for _ in texts]}
-            words = [TOKEN.findall(t.lower()) if t else [] for t in texts]
-            size = np.fromiter(map(len, words), np.int64, len(words))
-            values = cache.values([w for some in words for w in some])
-            end = np.cumsum(size)
-            start = end - size
-            first = np.zeros(len(values), bool)
-            first[start[size > 0]] = True
-            score = values[:, 0].copy()
-            if len(score):
-                score[1:] += np.where(first[1:], 0, values[:-1, 1])
-                score[:-1] += np.where(first[1:], 0, values[1:, 2])
-            p = chain(score, first, model.start, model.move)
-            quiet = np.concatenate(([0.0], np.cumsum(np.where(p >= FLOOR, np.log1p(-np.minimum(p, 1 - 1e-9)), 0.0))))
-            value = -np.expm1(np.minimum(quiet[end] - quiet[start], 0.0))
-            return {"toxicity": value, "toxic_spans": [spans(t, p[a:b]) for t, a, b in zip(texts, start, end)]}
+            p, begin, end = tagger.marginals([TOKEN.findall(t.lower()) if t else [] for t in texts])
+            value = 1 / (1 + np.exp(-np.clip(evidence_of(p, begin, end) @ model.document, -30, 30)))
+            value[begin == end] = 0
+            return {"toxicity": value, "toxic_spans": [spans(t, p[a:b]) for t, a, b in zip(texts, begin, end)]}
 
         return work
 
