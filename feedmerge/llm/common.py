@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feedmerge.session import scratch_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -147,6 +147,11 @@ def with_columns(df: DataFrame, columns: str, compute: Callable, text: str = "te
     return df.mapInArrow(run, out)
 
 
+def ascii_lower(text: str) -> str:
+    """A-Z as a-z; other letters stay, so positions do too."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def inverse(base: int) -> int:
     """The inverse of an odd number modulo 2**64, by Newton's iteration."""
     x = base
@@ -286,8 +291,12 @@ class WordCache:
             start = len(self.ids)
             self.ids.update(zip(fresh, range(start, start + len(fresh))))
             made = self.compute(fresh)
-            if self.matrix is not None:
-                made = np.concatenate((self.matrix, made))
-            self.matrix = made
+            end = start + len(made)
+            if self.matrix is None or end > len(self.matrix):
+                grown = np.zeros((max(4096, 2 * end), made.shape[1]))
+                if start:
+                    grown[:start] = self.matrix[:start]
+                self.matrix = grown
+            self.matrix[start:end] = made
         at = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         return self.matrix[at]

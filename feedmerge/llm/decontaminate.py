@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteTables, PowerTable, Scratch, Words, with_columns
+from .common import ByteTables, PowerTable, Scratch, Words, ascii_lower, with_columns
 
 WINDOW = 13
 #: A document is contaminated when hits reach one word in this many.
@@ -38,11 +38,10 @@ COVERAGE = 20
 MAX_WORDS = 200_000
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.translate(LOWER)) if text else []
+    return WORD.findall(ascii_lower(text)) if text else []
 
 
 class SuffixAutomaton:
@@ -271,7 +270,7 @@ def cut_spans(text: str | None, spans: list) -> str | None:
     """``text`` without its hit words, from the first to the last character of each span."""
     if not text or not spans:
         return text
-    at = [m.span() for m in WORD.finditer(text.translate(LOWER))]
+    at = [m.span() for m in WORD.finditer(ascii_lower(text))]
     out, end = [], 0
     for s in spans:
         out.append(text[end : at[s["first"]][0]])
