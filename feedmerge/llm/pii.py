@@ -174,13 +174,13 @@ def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns, derived in the engine from the spans of ``find_pii``."""
     from pyspark.sql import functions as F
 
-    base = F.filter("pii", lambda s: s["kind"].isin(KINDS[:4]))
+    of = lambda *kinds: F.filter("pii", lambda s: s["kind"].isin(*kinds))
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     found = find_pii(docs.select("doc_id", "text"))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("pii", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
-        F.sha2(joined(base), 256).alias("base_sha256"),
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
+        F.sha2(joined(of(*KINDS[:4])), 256).alias("base_sha256"),
         joined(F.col("pii")).alias("spans"),
         F.coalesce(F.array_max(F.transform("pii", lambda s: s["score"])), F.lit(0.0)).alias("max_score"),
     )
