@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, minhash_dedup, mixing, pii, quality, sharding, toxicity
+from . import decontaminate, embed_dedup, html_extract, langid, minhash_dedup, mixing, pii, quality, sharding, toxicity
 from .common import table
 from .oracle import SQL as SQL  # noqa: PLC0414
 
@@ -21,6 +21,14 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.digest(table(spark, sf, "documents"))
 
 
+def op3_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf, "pages"))
+
+
+def op4_embedding(spark: SparkSession, sf: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
 def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -48,5 +56,16 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_toxicity, op2_mixing, op5_decontamination, op6_language, op7_sharding, op8_minhash, op9_pii, op10_quality)
+    for q in (
+        op1_toxicity,
+        op2_mixing,
+        op3_html,
+        op4_embedding,
+        op5_decontamination,
+        op6_language,
+        op7_sharding,
+        op8_minhash,
+        op9_pii,
+        op10_quality,
+    )
 }
