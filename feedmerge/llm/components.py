@@ -34,13 +34,12 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         moved = edges.join(up("a"), "a").join(up("b"), "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
         fewer = scratch.put(moved.where("a <> b").distinct())
         if labels is None:
-            fresh = parent.withColumnRenamed("to", "label")
+            fresh = scratch.put(parent.withColumnRenamed("to", "label"))
         else:
             step = labels.join(parent.withColumnsRenamed({"id": "label"}), "label", "left")
             fresh = scratch.put(step.select("id", F.coalesce("to", "label").alias("label")))
             scratch.drop(labels)
-            scratch.drop(parent)
-        scratch.drop(edges)
+        scratch.drop(parent, edges)
         labels, edges = fresh, fewer
     if labels is None:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
