@@ -151,7 +151,7 @@ def chain(scores: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.nda
         return np.zeros(0)
     pad = -n % BLOCK
     s = np.exp(np.clip(np.concatenate((scores, np.zeros(pad))), -30, 30)).reshape(-1, BLOCK)
-    f = np.concatenate((first, np.zeros(pad, bool))).reshape(-1, BLOCK)
+    f = np.concatenate((first, np.ones(pad, bool))).reshape(-1, BLOCK)
     a, m = np.exp(start), np.exp(move)
     step = np.empty((*s.shape, 2, 2))
     for i in (0, 1):
