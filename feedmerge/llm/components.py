@@ -1,9 +1,10 @@
 """Connected components of a graph whose links are rows, by random contraction.
 
-In every round each node joins the neighbour, or itself, with the smallest hash of the
-round, and links move to the joined nodes. Nodes that nobody chose disappear, a
-constant share of them in expectation, so the rounds grow with the logarithm of the
-longest path. Links and labels are tables on shared storage between rounds; nothing
+In every round each node joins the neighbour, or itself, with the smallest hash, and
+links move to the joined nodes. A node that nobody chose disappears: a constant
+share of the nodes of a path in expectation, so rounds grow with the logarithm of the
+longest path; a star of any size takes two rounds, as its node of smallest hash becomes its
+centre and then takes all. Links and labels are tables on shared storage between rounds; nothing
 but a flag reaches the driver.
 """
 
@@ -23,10 +24,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     edges = scratch.put(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     labels = None
-    turn = 0
+    ranked = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("n"))
     while not edges.isEmpty():
-        turn += 1
-        ranked = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), F.col(c).alias("n"))  # noqa: E731, B023
         both = edges.select("a", "b").union(edges.select("b", "a"))
         chosen = both.groupBy(F.col("a").alias("id")).agg(F.min(ranked("b")).alias("m"))
         parent = scratch.put(chosen.select("id", F.least("m", ranked("id"))["n"].alias("to")))
