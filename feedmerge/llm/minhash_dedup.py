@@ -3,14 +3,16 @@
 1. Every whole text becomes its set of ``SHINGLE``-word shingles (64-bit hashes), a MinHash signature
    of ``HASHES`` values and a 128-bit key of the set. Rows with equal sets form one class, represented
    by its smallest id; only representatives go on.
-2. Signatures are cut into bands. In each bucket of equal band values every member is
-   a candidate with the bucket's smallest id, so a large group makes a star and not all pairs.
+2. Signatures are cut into bands. The smallest id in a bucket of equal band values leads it.
+   Every document is a candidate with the leader it shares most buckets with, so a large
+   group makes a star and not all pairs.
 3. Candidates compare their signatures batch by batch. After each batch the posterior
    of the similarity, given the matches so far and a uniform prior, is bounded: if it
    reaches the threshold with a probability below ``MISS``, the pair is dropped. Survivors
    are verified on the full sets of their texts, which settles every link.
-4. Verified links give components. A bucket whose members still lie in several components
-   may hide a link that is not to its smallest id. Its members are cut into blocks and
+4. Verified links give components. In a bucket whose members lie in several, members of
+   other components are candidates with its leader. A bucket that is still not of one
+   component may hide a link that is not to its leader: its members are cut into blocks and
    blocks are compared, only between components, by the same sequential test; survivors are
    verified and the components joined. So all pairs that share a bucket are settled.
 
@@ -220,6 +222,18 @@ def compare_blocks(members: DataFrame) -> DataFrame:
     return met.select("ma", "mb").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def still_split(inside: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of the buckets that lie in several components, with those and their leader's."""
+    placed = inside.join(found, "id", "left").withColumn("component", F.coalesce("component_id", "id"))
+    parts = placed.groupBy("bucket").agg(
+        F.min("component").alias("_low"),
+        F.max("component").alias("_high"),
+        F.max(F.when(F.col("id") == F.col("first"), F.col("component"))).alias("of_first"),
+    )
+    split = scratch.put(parts.where("_low <> _high").select("bucket", "of_first"))
+    return placed.join(split, "bucket").select("bucket", "id", "first", "n", "component", "of_first")
+
+
 def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(len(rows), -1)
     return np.array([r["id"] for r in rows]), np.array([r["component"] for r in rows]), sig
@@ -238,19 +252,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     again = member.where("doc_id <> rep").join(reps.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     buckets = scratch.put(banded(reps).groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     inside = scratch.put(banded(reps).join(buckets, "bucket"))
-    texts = source.join(reps.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text")
-    stars = inside.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    checked = scratch.put(verified(scratch.put(sequential(stars, reps)), texts))
-    links = checked.where("linked").select("a", "b").union(again)
+    # the texts of all that may ever be a candidate, shuffled once and kept
+    texts = scratch.put(source.join(inside.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id"))
+    # first every document meets the one leader it shares most buckets with
+    votes = inside.where("id <> first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("v"))
+    best = votes.groupBy("id").agg(F.max(F.struct("v", (-F.col("first")).alias("l"))).alias("top"))
+    pairs = best.select((-F.col("top.l")).alias("a"), F.col("id").alias("b"))
+    checked = scratch.put(verified(scratch.put(sequential(pairs, reps)), texts))
+    links = scratch.put(checked.where("linked").select("a", "b").union(again))
     found = scratch.put(components(links, scratch))
-    placed = inside.join(found, "id", "left").withColumn("component", F.coalesce("component_id", "id"))
-    own = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("own"))
-    split = scratch.put(own.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-    if not split.isEmpty():
-        mixed = scratch.put(placed.join(split, "bucket").select("bucket", "id", "component", "n"))
+    # then, where a bucket is not of one component, members of others meet its leader
+    mixed = scratch.put(still_split(inside, found, scratch))
+    if not mixed.isEmpty():
+        stars = mixed.where("component <> of_first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+        fresh = scratch.put(sequential(stars, reps)).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        second = scratch.put(verified(fresh, texts))
+        checked = checked.union(second)
+        links = links.union(second.where("linked").select("a", "b"))
+        if not second.where("linked").isEmpty():
+            found = scratch.put(components(links, scratch))
+        mixed = scratch.put(still_split(mixed.select("bucket", "id", "first", "n"), found, scratch))
+    # and last, members of the components that still share a bucket meet in blocks
+    if not mixed.isEmpty():
         sized = scratch.put(mixed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("own")))
-        members = mixed.join(sized, ["bucket", "component"]).join(reps.select("id", "sig"), "id")
-        fresh = scratch.put(compare_blocks(members)).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        members = mixed.select("bucket", "id", "component", "n").join(sized, ["bucket", "component"])
+        blocks = compare_blocks(members.join(reps.select("id", "sig"), "id"))
+        fresh = scratch.put(blocks).join(checked.select("a", "b"), ["a", "b"], "left_anti")
         more = scratch.put(verified(fresh, texts).where("linked").select("a", "b"))
         if not more.isEmpty():
             found = scratch.put(components(links.union(more), scratch))
