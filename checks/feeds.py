@@ -27,12 +27,24 @@ OLD_POSTS = ("signup",)
 OLD_METRICS = ("purchase",)
 BLOGS = ("view", "click")
 OLD_BLOGS = ("signup", "purchase", "error")
+# Without a history to lay them over, all event types are new.
+ALL_POSTS = POSTS + OLD_POSTS
+ALL_METRICS = METRICS + OLD_METRICS
+BROKEN_TEXT = "{broken "
 
 # Odd users write one post a day; even ones keep one post for a week.
 POST_URL = """concat('https://p.example/', user_id, '/', date_format(
     case when user_id % 2 = 0 then date_trunc('week', ts) else ts end, 'yyyy-MM-dd'))"""
 
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# A part of the feeds writes times of other zones, so that an instant late or early in a
+# day carries the date of the day after or before.
+METRIC_TIME = f"""case when event_id % 7 = 0
+    then concat(date_format(ts + interval 3 hours, "{STAMP}"), '+03:00')
+    else date_format(ts, "{STAMP}") end"""
+POST_TIME = f"""concat(
+    date_format(partdate - make_interval(0, 0, 0, 0, if(kafkaoffset % 7 = 0, 5, 0)), "{STAMP}"),
+    if(kafkaoffset % 7 = 0, '-05:00', ''))"""
 
 
 def events(spark: SparkSession, sf: str, types: Sequence[str] | None = None) -> DataFrame:
@@ -60,7 +72,7 @@ def post_rows(rows: DataFrame) -> DataFrame:
         f"{POST_URL} posturl",
         "event_id % 13 repostscount",
         "user_id % 7 socialnetworktype",
-        "array(event_id % 9, user_id % 9) topics",
+        "array(event_id % 9, case when event_id % 11 <> 0 then user_id % 9 end) topics",
         "case when event_id % 3 <> 0 then event_id % 1000 end viewscount",
         "cast(ts + interval 1 hour as timestamp) currenttimestamp",
         "cast(user_id % 16 as int) kafkapartition",
@@ -73,7 +85,7 @@ def metric_rows(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(
         "user_id % 5 blogtype",
         "concat('https://b.example/', user_id) blogurl",
-        f'date_format(ts, "{STAMP}") partdate',
+        f"{METRIC_TIME} partdate",
         "case when event_id % 5 <> 0 then event_id % 200 end comments",
         "event_id % 300 likes",
         "event_id % 40 reposts",
@@ -158,7 +170,7 @@ POST_MESSAGE = f"""struct(
     struct(blogid as UrlHash, blogtype as Type,
            struct(blogfollowers as FollowerCount) as Metrics) as Blog,
     posturl as Url, isspam as IsSpam, struct(parentid as UrlHash) as Parent,
-    {stamp('partdate')} as CreateDate, posttype as Type,
+    {POST_TIME} as CreateDate, posttype as Type,
     transform(topics, t -> struct(t as Id)) as Topics)"""
 
 METRIC_MESSAGE = """struct(
@@ -185,6 +197,12 @@ def post_messages(rows: DataFrame) -> DataFrame:
     return envelope(post_rows(rows), F.expr(POST_MESSAGE))
 
 
+def with_broken(messages: DataFrame) -> DataFrame:
+    """Every twentieth message as text that is no JSON."""
+    text = F.concat(F.lit(BROKEN_TEXT), F.col("offset").cast("string")).cast("binary")
+    return messages.withColumn("value", F.when(F.col("offset") % 20 == 0, text).otherwise(F.col("value")))
+
+
 def metric_messages(rows: DataFrame) -> DataFrame:
     return envelope(metric_rows(rows), F.expr(METRIC_MESSAGE), "Metrics")
 
@@ -194,23 +212,21 @@ def blog_messages(rows: DataFrame) -> DataFrame:
 
 
 def offset_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Hourly runs; most of them miss some of the 16 log partitions."""
+    """Hourly runs of three topics and two groups; most miss some of the 16 log partitions."""
     return (
         events(spark, sf)
         .groupBy(
             F.expr("cast(user_id % 16 as int)").alias("kafkapartition"),
             F.date_format("ts", "yyyy-MM-dd").alias("execdate"),
             F.date_format("ts", "HH-'00'").alias("exectime"),
+            F.expr(
+                "case when event_type in ('view', 'error') then 'Posts' "
+                "when event_type = 'signup' then 'Blogs' else 'Metrics' end"
+            ).alias("topic"),
+            F.expr("concat('g', 1 + event_id % 2)").alias("consumergroup"),
         )
         .agg(F.max("event_id").alias("latestoffset"))
-        .select(
-            "kafkapartition",
-            "latestoffset",
-            F.lit(TOPIC).alias("topic"),
-            F.lit(GROUP).alias("consumergroup"),
-            "execdate",
-            "exectime",
-        )
+        .select("kafkapartition", "latestoffset", "topic", "consumergroup", "execdate", "exectime")
     )
 
 
@@ -228,7 +244,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif kind == "date":
             shown.append(f"cast({name} as string) as {name}")
         elif kind.startswith("array"):
-            shown.append(f"array_join(cast({name} as array<string>), ',') as {name}")
+            shown.append(f"array_join(cast({name} as array<string>), ',', 'null') as {name}")
         else:
             shown.append(f"`{name}`")
     return df.selectExpr(*shown)

@@ -7,18 +7,42 @@ spelled out in full: every pair is joined before the latest row is picked.
 from __future__ import annotations
 
 from checks.feeds import EXEC_DATE, GROUP, LOWER, SNAPSHOT_DATE, TOPIC
-from feedmerge.schemas import (
-    COUNT_OVERRIDES,
-    MERGED_POSTS,
-    METRICS_DELTA,
-    POSTS_DELTA,
-    RIGHT_SUFFIX,
-)
+
+# Spelled out here, so that an error in the library's lists cannot hide.
+POST_COLUMNS = """
+    authorurl accounttype accountfollowers bloganslanguage blogfollowers blogid blogtype
+    commentscount id isspam likescount metrictimestamp parentid partdate posttype posturl
+    repostscount socialnetworktype topics viewscount currenttimestamp kafkapartition
+    kafkaoffset execdate
+""".split()
+METRIC_COLUMNS = """
+    blogtype blogurl partdate comments likes reposts views commentnegativecount
+    commentpositivecount metricstimestamp metricstype metricsurl currenttimestamp
+    kafkapartition kafkaoffset id execdate
+""".split()
+MERGED_COLUMNS = """
+    authorurl accounttype accountfollowers bloganslanguage blogfollowers blogid blogtype
+    commentscount isspam likescount metrictimestamp parentid posttype posturl repostscount
+    socialnetworktype topics viewscount currenttimestamp kafkapartition kafkaoffset execdate
+    blogtype_metrics blogurl commentnegativecount commentpositivecount metricstimestamp
+    metricstype metricsurl currenttimestamp_metrics kafkapartition_metrics
+    kafkaoffset_metrics execdate_metrics partdate_pmd post_id
+""".split()
+OVERRIDES = {"commentscount": "comments", "likescount": "likes", "repostscount": "reposts", "viewscount": "views"}
+SUFFIX = "_metrics"
 
 ALL = "'view', 'click', 'signup', 'purchase', 'error'"
 NOW = "2024-01-20 06:00:00"
 DAY = "strftime(ts, '%Y-%m-%d')"
 STAMP = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
+METRIC_TIME = f"""case when event_id % 7 = 0
+      then strftime(ts + interval 3 hour, '%Y-%m-%dT%H:%M:%S.%f') || '+03:00' else {STAMP} end"""
+METRIC_DAY = """cast(case when partdate like '%+03:00'
+      then cast(left(partdate, 26) as timestamp) - interval 3 hour
+      else cast(partdate as timestamp) end as date)"""
+POST_TIME = f"""case when event_id % 7 = 0
+      then strftime(ts - interval 5 hour, '%Y-%m-%dT%H:%M:%S.%f') || '-05:00' else {STAMP} end"""
+ALL_POSTS, ALL_METRICS = "'view', 'error', 'signup'", "'click', 'purchase'"
 POST_URL = """'https://p.example/' || user_id || '/' || strftime(
       case when user_id % 2 = 0 then date_trunc('week', ts) else ts end, '%Y-%m-%d')"""
 
@@ -32,7 +56,7 @@ def posts(types: str = "'view', 'error'") -> str:
       event_id % 97 likescount, {STAMP} metrictimestamp,
       case when event_id % 4 = 0 then md5('parent/' || (user_id % 20)) end parentid,
       ts partdate, event_id % 6 posttype, {POST_URL} posturl, event_id % 13 repostscount,
-      user_id % 7 socialnetworktype, (event_id % 9) || ',' || (user_id % 9) topics,
+      user_id % 7 socialnetworktype, (event_id % 9) || ',' || (case when event_id % 11 = 0 then 'null' else cast(user_id % 9 as varchar) end) topics,
       case when event_id % 3 = 0 then null else event_id % 1000 end viewscount,
       ts + interval 1 hour currenttimestamp, cast(user_id % 16 as int) kafkapartition,
       event_id kafkaoffset, '{EXEC_DATE}' execdate
@@ -41,7 +65,7 @@ def posts(types: str = "'view', 'error'") -> str:
 
 def metrics(types: str = "'click'") -> str:
     return f"""
-    select user_id % 5 blogtype, 'https://b.example/' || user_id blogurl, {STAMP} partdate,
+    select user_id % 5 blogtype, 'https://b.example/' || user_id blogurl, {METRIC_TIME} partdate,
       case when event_id % 5 = 0 then null else event_id % 200 end comments,
       event_id % 300 likes, event_id % 40 reposts, event_id % 5000 "views",
       event_id % 11 commentnegativecount, event_id % 12 commentpositivecount,
@@ -90,14 +114,14 @@ def text_time(*columns: str) -> str:
 def pairs_select() -> str:
     """Every column of a joined post ``p`` and metric ``m``."""
     out = []
-    for c in POSTS_DELTA:
-        if c in COUNT_OVERRIDES:
-            out.append(f"coalesce(m.{COUNT_OVERRIDES[c]}, p.{c}) {c}")
+    for c in POST_COLUMNS:
+        if c in OVERRIDES:
+            out.append(f"coalesce(m.{OVERRIDES[c]}, p.{c}) {c}")
         elif c not in ("id", "partdate"):
             out.append(f"p.{c}")
-    for c in METRICS_DELTA:
-        if c not in ("id", "partdate") and c not in COUNT_OVERRIDES.values():
-            out.append(f"m.{c} {c + RIGHT_SUFFIX if c in POSTS_DELTA else c}")
+    for c in METRIC_COLUMNS:
+        if c not in ("id", "partdate") and c not in OVERRIDES.values():
+            out.append(f"m.{c} {c + SUFFIX if c in POST_COLUMNS else c}")
     out += ["coalesce(p.day, m.day) partdate_pmd", "coalesce(p.id, m.id) post_id"]
     return ", ".join(out)
 
@@ -110,12 +134,12 @@ PAIR_ORDER = """metricstimestamp desc nulls last, metrictimestamp desc nulls las
 def pairs(name: str, post_sql: str, metric_sql: str, gate: bool, lower: str, upper: str) -> str:
     """CTEs ``<name>_p``, ``<name>_m`` and the joined ``<name>_pairs``."""
     span = f"between date '{lower}' and date '{upper}'"
-    keep = f"and cast(partdate as date) in (select day from {name}_p)" if gate else ""
+    keep = f"and {METRIC_DAY} in (select day from {name}_p)" if gate else ""
     return f"""
     {name}_p as (select *, cast(partdate as date) as day from ({post_sql})
       where cast(partdate as date) {span}),
-    {name}_m as (select *, cast(partdate as date) as day from ({metric_sql})
-      where cast(partdate as date) {span} {keep}),
+    {name}_m as (select *, {METRIC_DAY} as day from ({metric_sql})
+      where {METRIC_DAY} {span} {keep}),
     {name}_pairs as (select {pairs_select()} from {name}_p p full outer join {name}_m m
       on p.id = m.id and p.day = m.day)"""
 
@@ -135,7 +159,7 @@ def history(name: str = "hist") -> str:
 
 def overlaid(name: str, new: str, old: str, where: str = "true") -> str:
     """CTE ``name``: ``new`` laid over those rows of ``old`` that match ``where``."""
-    columns = ", ".join(f"coalesce(d.{c}, h.{c}) {c}" for c in MERGED_POSTS)
+    columns = ", ".join(f"coalesce(d.{c}, h.{c}) {c}" for c in MERGED_COLUMNS)
     return f"""
     {name} as (select {columns} from (select * from {old} where {where}) h
       full outer join {new} d on d.post_id = h.post_id and d.partdate_pmd = h.partdate_pmd)"""
@@ -154,7 +178,7 @@ MERGED_TEXT = (
 
 
 def merged_columns(source: str) -> str:
-    return f"select {', '.join(MERGED_POSTS)} from {source}"
+    return f"select {', '.join(MERGED_COLUMNS)} from {source}"
 
 
 def show_merged(source: str) -> str:
@@ -181,10 +205,14 @@ REPLACED = f"""{MERGED} {show_merged(f'''(
       {merged_columns('merged')} union all
       {merged_columns(f'(select * from hist where not {PROCESSED})')})''')}"""
 
-LOG = f"""select cast(user_id % 16 as int) kafkapartition, max(event_id) latestoffset,
-      '{TOPIC}' topic, '{GROUP}' consumergroup, {DAY} execdate,
+FULL_LOG = f"""select cast(user_id % 16 as int) kafkapartition, max(event_id) latestoffset,
+      case when event_type in ('view', 'error') then 'Posts' when event_type = 'signup' then 'Blogs'
+        else 'Metrics' end topic, 'g' || (1 + event_id % 2) consumergroup, {DAY} execdate,
       strftime(ts, '%H') || '-00' exectime
     from events group by all"""
+LOG = f"select * from ({FULL_LOG}) where topic = '{TOPIC}' and consumergroup = '{GROUP}'"
+READ_LOG = f"""select cast(user_id % 16 as int) kafkapartition, max(event_id) latestoffset
+    from events where ts < timestamp '2024-01-15' group by all"""
 PARTITIONS = "select cast(i as int) kafkapartition from range(18) t(i)"
 
 
@@ -197,6 +225,9 @@ def resumed(scope: str, missing: int) -> str:
       from parts left join seen using (kafkapartition))"""
 
 
+FIRST_RUN = f"""with {pairs('delta', posts(ALL_POSTS), metrics(ALL_METRICS), True, LOWER, EXEC_DATE)},
+    {latest_pairs('delta')} {show_merged('delta')}"""
+
 MESSAGE = """cast(user_id % 16 as int) as "partition", event_id as "offset" """
 FIRST_RUN_ENDS = "2024-01-15"
 
@@ -205,6 +236,14 @@ SNAPSHOT = f"""snap as (select *, '{SNAPSHOT_DATE.replace('-', '')}' mergedate
     fresh as (select *, '{EXEC_DATE.replace('-', '')}' mergedate
       from ({newest('(' + blogs() + ')', 'accountid', BLOG_ORDER)}))"""
 BLOG_TEXT = text_time("currenttimestamp")
+
+
+def every_account(day: str, where: str = "true") -> str:
+    rows = f"(select * from ({blogs(ALL)}) where {where})"
+    return f"""select *, '{day.replace('-', '')}' mergedate from (
+      select * {BLOG_TEXT} from ({newest(rows, 'accountid', BLOG_ORDER)}))"""
+
+
 MERGED_BLOGS = f"""with {SNAPSHOT}, both_sides as (select * from snap union all by name
       select * from fresh)
     select * {BLOG_TEXT} from ({newest('both_sides', 'accountid', BLOG_ORDER)})"""
@@ -222,15 +261,49 @@ LINE_ORDER = """l_shipdate desc, l_linenumber desc, l_partkey desc, l_suppkey de
 
 DECODED_POSTS = f"""select posturl, partdate, posttype, language, spam, topics,
       author, followers from (
-    select {POST_URL} posturl, {STAMP} partdate, event_id % 6 posttype,
+    select {POST_URL} posturl, {POST_TIME} partdate, event_id % 6 posttype,
       user_id % 3 as language, event_id % 50 = 0 spam, 2 topics,
       'https://a.example/' || user_id author, event_id % 500 followers from events)"""
 
+def ingested(feed_sql: str, key: str) -> str:
+    """Two runs: rows with their key unless broken, broken text, offsets and counts."""
+    return f"""with feed as (select kafkapartition, kafkaoffset, kafkaoffset % 20 = 0 broken, "{key}" k,
+        case when moment < timestamp '{FIRST_RUN_ENDS}' then 0 else 1 end run
+      from ({feed_sql}) join (select event_id, ts moment from events) on event_id = kafkaoffset)
+    select 'row' kind, kafkapartition, kafkaoffset, case when not broken then k end "text" from feed
+    union all select 'broken', kafkapartition, kafkaoffset, '{{broken ' || kafkaoffset from feed where broken
+    union all select 'offset', kafkapartition, max(kafkaoffset), null from feed group by kafkapartition, run
+    union all select 'count', run, count(*), 'rows' from feed group by run
+    union all select 'count', run, count(*) filter (where broken), 'keyless' from feed group by run
+    union all select 'count', run, count(*) filter (where broken), 'broken' from feed group by run"""
+
+
+def day_step(k: int, upper: str, before: str, after: str) -> str:
+    """One day's half of the feeds laid over ``before``, whole dates replaced: CTE ``after``."""
+    half = lambda sql: f"select * from ({sql}) where kafkaoffset % 2 = {k}"
+    name = f"d{k}"
+    touched = f"partdate_pmd in (select day from {name}_p)"
+    return f"""{pairs(name, half(posts()), half(metrics()), True, LOWER, upper)}, {latest_pairs(name)},
+    {overlaid(f'o{k}', name, before, touched)},
+    n{k} as ({newest(f'o{k}', READING, READING_ORDER)}),
+    {after} as (select * from ({merged_columns(f'n{k}')}) union all
+      select * from ({merged_columns(before)}) where not {touched})"""
+
+
+SHOWN = "likescount, viewscount, commentscount, kafkaoffset"
+MERGED_DAYS = f"""with {SNAPSHOT}, {history()}, {day_step(0, '2024-01-19', 'hist', 'h0')},
+    {day_step(1, EXEC_DATE, 'h0', 'h1')},
+    fed as (select *, case when kafkaoffset % 2 = 0 then '20240119' else '{EXEC_DATE.replace('-', '')}' end mergedate
+      from ({blogs()})),
+    every as (select * from snap union all by name select * from fed)
+    select 'post' kind, post_id "key", cast(partdate_pmd as varchar) "day", {SHOWN} from h1
+    union all
+    select 'account', accountid, mergedate, {SHOWN} from ({newest('every', 'accountid', BLOG_ORDER)})"""
+
 SQL: dict[str, str] = {
     # scans
     "scan_earliest": f"select {MESSAGE} from events",
-    "scan_from_offsets": f"""with {resumed('all_runs', -2).replace(
-        'from events group by all', f"from events where ts < timestamp '{FIRST_RUN_ENDS}' group by all")}
+    "scan_from_offsets": f"""with {resumed('all_runs', -2).replace(LOG, READ_LOG)}
     select {MESSAGE} from events join starts on user_id % 16 = kafkapartition
     where event_id >= startingoffset""",
     "scan_resume_or_earliest": f"""with cut as (select user_id % 16 p, max(event_id) last
@@ -256,7 +329,7 @@ SQL: dict[str, str] = {
     "flatten_blogs": decoded(blogs(ALL), "currenttimestamp"),
     "flatten_metrics": decoded(metrics(ALL), "currenttimestamp"),
     "topics_ids": """select event_id as "offset",
-      (event_id % 9) || ',' || (user_id % 9) topics from events""",
+      (event_id % 9) || ',' || (case when event_id % 11 = 0 then 'null' else cast(user_id % 9 as varchar) end) topics from events""",
     # projections and filters
     "suffix_collisions": f"""select blogtype blogtype_metrics, blogurl, partdate partdate_metrics,
       comments, likes, reposts, "views", commentnegativecount, commentpositivecount,
@@ -267,36 +340,36 @@ SQL: dict[str, str] = {
     "filter_date_range": f"""select kafkaoffset, cast(cast(partdate as date) as varchar) "day"
     from ({posts(ALL)}) where cast(partdate as date) between '{LOWER}' and '{EXEC_DATE}'
     union all
-    select kafkaoffset, cast(cast(partdate as date) as varchar) "day"
-    from ({metrics(ALL)}) where cast(partdate as date) between '{LOWER}' and '{EXEC_DATE}'""",
-    "filter_batch_dates": f"""with p as (select cast(partdate as date) as day from ({posts()})
+    select kafkaoffset, cast({METRIC_DAY} as varchar) "day"
+    from ({metrics(ALL)}) where {METRIC_DAY} between '{LOWER}' and '{EXEC_DATE}'""",
+    "filter_batch_dates": f"""with p as (select cast(partdate as date) as day from ({posts(ALL_POSTS)})
       where cast(partdate as date) between '{LOWER}' and '{EXEC_DATE}')
-    select 'frame' how, kafkaoffset from ({metrics()})
-    where cast(partdate as date) in (select day from p)
+    select 'frame' how, kafkaoffset from ({metrics(ALL_METRICS)})
+    where {METRIC_DAY} in (select day from p)
     union all
-    select 'list' how, kafkaoffset from ({metrics()})
-    where cast(partdate as date) in (date '{LOWER}', date '{EXEC_DATE}')""",
+    select 'list' how, kafkaoffset from ({metrics(ALL_METRICS)})
+    where {METRIC_DAY} in (date '{LOWER}', date '{EXEC_DATE}')""",
     "distinct_partitions": f"""select distinct cast(cast(partdate as date) as varchar) "day"
-    from ({posts()}) where cast(partdate as date) between '{LOWER}' and '{EXEC_DATE}'""",
+    from ({posts(ALL_POSTS)}) where cast(partdate as date) between '{LOWER}' and '{EXEC_DATE}'""",
     # joins and merges
-    "merge_delta_posts_metrics": f"""with {pairs('delta', posts(), metrics(), False, LOWER, EXEC_DATE)}
+    "merge_delta_posts_metrics": f"""with {pairs('delta', posts(ALL_POSTS), metrics(ALL_METRICS), False, LOWER, EXEC_DATE)}
     {show_merged('delta_pairs')}""",
-    "latest_post_with_metrics": f"""with {pairs('delta', posts(), metrics(), False, LOWER, EXEC_DATE)},
+    "latest_post_with_metrics": f"""with {pairs('delta', posts(ALL_POSTS), metrics(ALL_METRICS), False, LOWER, EXEC_DATE)},
     {latest_pairs('delta')} {show_merged('delta')}""",
-    "latest_posts_metrics_fused": f"""with {delta()} {show_merged('delta')}""",
+    "latest_posts_metrics_fused": FIRST_RUN,
     "overlay_history": f"""with {delta()}, {history()}, {overlaid('o', 'delta', 'hist')}
     {show_merged('o')}""",
     "merge_posts_history": f"""with {delta()}, {history()}, {overlaid('o', 'delta', 'hist')},
     merged as ({newest('o', READING, READING_ORDER)}) {show_merged('merged')}""",
     "merge_posts_metrics": f"{MERGED} {show_merged('merged')}",
     "merge_posts_batched": batched(7),
-    "merge_posts_first_run": f"with {delta()} {show_merged('delta')}",
-    "dedupe_blogs_delta": f"select * {BLOG_TEXT} from ({newest('(' + blogs() + ')', 'accountid', BLOG_ORDER)})",
+    "merge_posts_first_run": FIRST_RUN,
+    "dedupe_blogs_delta": f"select * {BLOG_TEXT} from ({newest('(' + blogs(ALL) + ')', 'accountid', BLOG_ORDER)})",
     "union_history_delta": f"""with {SNAPSHOT} select * {BLOG_TEXT} from (
       select * from snap union all by name select * from ({blogs()}))""",
     "merge_blogs": MERGED_BLOGS,
     "merge_blogs_bucketed": MERGED_BLOGS,
-    "merge_blogs_first_run": f"with {SNAPSHOT} select * {BLOG_TEXT} from fresh",
+    "merge_blogs_first_run": every_account(EXEC_DATE),
     "latest_per_key": newest("lineitem", "l_orderkey", LINE_ORDER).replace(
         "* exclude (rn)",
         "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
@@ -314,6 +387,9 @@ SQL: dict[str, str] = {
     where (execdate, exectime) = (select max((execdate, exectime)) from log)""",
     "offsets_resume": f"with {resumed('all_runs', -2)} select * from starts",
     "offsets_resume_latest_run": f"with {resumed('latest_run', -1)} select * from starts",
+    "offsets_compact": f"""select kafkapartition, latestoffset, topic, consumergroup, execdate, exectime
+    from ({newest('(' + FULL_LOG + ')', 'topic, consumergroup, kafkapartition',
+      'latestoffset desc, execdate desc, exectime desc')})""",
     "offsets_json": f"""with {resumed('all_runs', -2)}
     select '{{"{TOPIC}":{{' || string_agg('"' || kafkapartition || '":' || startingoffset, ','
       order by kafkapartition) || '}}}}' startingoffsets from starts""",
@@ -322,9 +398,17 @@ SQL: dict[str, str] = {
     "sink_partitioned": f"""select * exclude (day_), strftime(day_, '%Y-%m-%d') postdate
       from (select * {text_time('partdate', 'currenttimestamp')},
         cast(partdate as date) day_ from ({posts(ALL)}))""",
-    "sink_snapshot": f"""with {SNAPSHOT} select * {BLOG_TEXT} from snap""",
+    "sink_snapshot": every_account(SNAPSHOT_DATE),
     "merge_posts_bucketed": REPLACED,
     "replace_partitions": REPLACED,
+    # pipelines
+    "ingest_posts": ingested(posts(ALL), "id"),
+    "ingest_metrics": ingested(metrics(ALL), "id"),
+    "ingest_blogs": ingested(blogs(ALL), "accountid"),
+    "merge_blogs_after_gap": f"""select * replace (
+      case when execdate = '2024-01-17' then '20240117' else mergedate end as mergedate)
+      from ({every_account("2024-01-19", "execdate in ('2024-01-17', '2024-01-18', '2024-01-19')")})""",
+    "merge_day": MERGED_DAYS,
     "retention_keep": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') o_orderdate, o_orderpriority
     from orders where not (cast(o_orderdate as date)
@@ -340,7 +424,9 @@ SQL: dict[str, str] = {
     "url_key": "select page_id, md5(url) url_key from pages",
     "url_key_sha1": "select page_id, substr(sha1(url), 1, 32) url_key from pages",
     "url_key_sha256": "select page_id, substr(sha256(url), 1, 32) url_key from pages",
-    "key_bucket": """select c_custkey, 1 buckets, true in_range from customer""",
+    "key_bucket": """select c_custkey,
+      cast(cast('0x' || substr(md5('c/' || c_custkey), 1, 15) as bigint) % 255 as int) bucket
+    from (select o_custkey c_custkey from orders union all select c_custkey from customer)""",
     "exec_date_formats": """select o_orderkey, strftime(o_orderdate, '%Y%m%d') compact,
       strftime(o_orderdate, '%Y-%m-%d') dashed from orders""",
     "run_window": """select o_orderkey,
@@ -354,6 +440,6 @@ SQL: dict[str, str] = {
     "stream_ingest_blogs": decoded(blogs(ALL), "currenttimestamp"),
     "stream_upsert_blogs": f"""select *, '{EXEC_DATE.replace('-', '')}' mergedate from (
       select * {BLOG_TEXT} from ({newest('(' + blogs(ALL) + ')', 'accountid', BLOG_ORDER)}))""",
-    "stream_upsert_posts": f"""with {pairs('delta', posts(), metrics(), False, LOWER, EXEC_DATE)},
+    "stream_upsert_posts": f"""with {pairs('delta', posts(ALL_POSTS), metrics(ALL_METRICS), False, LOWER, EXEC_DATE)},
     {latest_pairs('delta')} {show_merged('delta')}""",
 }

@@ -16,6 +16,8 @@ from feedmerge import functions as fn
 from feedmerge import operators as op
 from feedmerge import plans
 from feedmerge.operators.join import DAY, days_of_range
+from feedmerge.plans import daily
+from feedmerge.plans.ingest import BROKEN, broken_path
 from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_table
 from feedmerge.plans.merge_posts import (
     create_posts_table,
@@ -28,6 +30,7 @@ from feedmerge.schemas import (
     METRICS_DELTA,
     POST_DATE,
     POST_JSON,
+    POST_KEY,
     POSTS_DELTA,
     ddl,
 )
@@ -42,8 +45,13 @@ from feedmerge.sinks import (
 from feedmerge.sinks.retention import remove_days
 from feedmerge.sinks.tables import replace_table_days
 from feedmerge.sources import files, log
-from feedmerge.streaming import stream_ingest, stream_upsert_blogs, stream_upsert_posts
-from feedmerge.streaming.upsert import read_version
+from feedmerge.streaming import (
+    read_accounts,
+    read_upserted_posts,
+    stream_ingest,
+    stream_upsert_blogs,
+    stream_upsert_posts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -205,6 +213,14 @@ def topics_ids(spark, sf):
 # Projections and filters
 
 
+def all_posts(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.posts(spark, sf, feeds.ALL_POSTS)
+
+
+def all_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.metrics(spark, sf, feeds.ALL_METRICS)
+
+
 def in_range(rows: DataFrame) -> DataFrame:
     return op.filter_date_range(rows, "partdate", LOWER, EXEC_DATE)
 
@@ -226,8 +242,8 @@ def filter_date_range(spark, sf):
 
 @query
 def filter_batch_dates(spark, sf):
-    rows = feeds.metrics(spark, sf).withColumn(DAY, fn.as_date("partdate"))
-    days = days_of_range(in_range(feeds.posts(spark, sf)), LOWER, EXEC_DATE)
+    rows = all_metrics(spark, sf).withColumn(DAY, fn.as_date("partdate"))
+    days = days_of_range(in_range(all_posts(spark, sf)), LOWER, EXEC_DATE)
     return (
         op.filter_days(rows, days)
         .select(F.lit("frame").alias("how"), "kafkaoffset")
@@ -241,7 +257,7 @@ def filter_batch_dates(spark, sf):
 
 @query
 def distinct_partitions(spark, sf):
-    days = op.distinct_days(in_range(feeds.posts(spark, sf)))
+    days = op.distinct_days(in_range(all_posts(spark, sf)))
     return days.select(F.col(DAY).cast("string").alias("day")).orderBy("day")
 
 
@@ -250,15 +266,14 @@ def distinct_partitions(spark, sf):
 
 @query
 def merge_delta_posts_metrics(spark, sf):
-    return op.join_posts_metrics(in_range(feeds.posts(spark, sf)), in_range(feeds.metrics(spark, sf)))
+    return op.join_posts_metrics(in_range(all_posts(spark, sf)), in_range(all_metrics(spark, sf)))
 
 
 @query
 def latest_post_with_metrics(spark, sf):
-    pairs = op.join_posts_metrics(
-        in_range(feeds.posts(spark, sf)), in_range(feeds.metrics(spark, sf))
+    return op.merge_latest_posts_metrics(
+        in_range(all_posts(spark, sf)), in_range(all_metrics(spark, sf))
     )
-    return op.latest_posts_with_metrics(pairs)
 
 
 def delta(spark, sf):
@@ -274,7 +289,8 @@ def history(spark, sf):
 
 @query
 def latest_posts_metrics_fused(spark, sf):
-    return delta(spark, sf)
+    posts, metrics = all_posts(spark, sf), all_metrics(spark, sf)
+    return plans.merge_posts_metrics(posts, metrics, None, LOWER, EXEC_DATE)
 
 
 @query
@@ -305,15 +321,15 @@ def merge_posts_batched(spark, sf):
 def merge_posts_first_run(spark, sf):
     base = scratch_dir(spark, "first")
     posts, metrics, merged = f"{base}/posts", f"{base}/metrics", f"{base}/merged"
-    feeds.posts(spark, sf).write.parquet(f"{files.day_path(posts, EXEC_DATE)}/06-00")
-    feeds.metrics(spark, sf).write.parquet(f"{files.day_path(metrics, EXEC_DATE)}/06-00")
+    all_posts(spark, sf).write.parquet(f"{files.day_path(posts, EXEC_DATE)}/06-00")
+    all_metrics(spark, sf).write.parquet(f"{files.day_path(metrics, EXEC_DATE)}/06-00")
     plans.merge_posts(spark, posts, metrics, merged, EXEC_DATE, LOWER)
     return spark.read.parquet(merged).select(*MERGED_POSTS)
 
 
 @query
 def dedupe_blogs_delta(spark, sf):
-    return op.latest_accounts(feeds.blogs(spark, sf))
+    return op.latest_accounts(feeds.blogs(spark, sf, None))
 
 
 def snapshot(spark, sf):
@@ -335,7 +351,7 @@ def merge_blogs(spark, sf):
 @query
 def merge_blogs_first_run(spark, sf):
     base = scratch_dir(spark, "accounts")
-    feeds.blogs(spark, sf).write.parquet(f"{files.day_path(base + '/blogs', EXEC_DATE)}/06-00")
+    feeds.blogs(spark, sf, None).write.parquet(f"{files.day_path(base + '/blogs', EXEC_DATE)}/06-00")
     return spark.read.parquet(
         plans.merge_blogs(spark, f"{base}/blogs", f"{base}/merged", EXEC_DATE)
     )
@@ -372,25 +388,32 @@ def offsets_commit(spark, sf):
 
 @query
 def offsets_latest_run(spark, sf):
-    return op.latest_run(feeds.offset_log(spark, sf))
+    return op.latest_run(feeds.offset_log(spark, sf), TOPIC, GROUP)
+
+
+def resumed(spark, sf, **how):
+    partitions = feeds.topic_partitions(spark)
+    return op.resume_offsets(feeds.offset_log(spark, sf), partitions, topic=TOPIC, group=GROUP, **how)
 
 
 @query
 def offsets_resume(spark, sf):
-    return op.resume_offsets(feeds.offset_log(spark, sf), feeds.topic_partitions(spark))
+    return resumed(spark, sf)
 
 
 @query
 def offsets_resume_latest_run(spark, sf):
-    return op.resume_offsets(
-        feeds.offset_log(spark, sf), feeds.topic_partitions(spark), "latest_run", -1
-    )
+    return resumed(spark, sf, scope="latest_run", missing=-1)
+
+
+@query
+def offsets_compact(spark, sf):
+    return op.compact_offsets(feeds.offset_log(spark, sf))
 
 
 @query
 def offsets_json(spark, sf):
-    starts = op.resume_offsets(feeds.offset_log(spark, sf), feeds.topic_partitions(spark))
-    return op.starting_offsets_json(starts, TOPIC)
+    return op.starting_offsets_json(resumed(spark, sf), TOPIC)
 
 
 # Sinks
@@ -414,9 +437,8 @@ def sink_partitioned(spark, sf):
 @query
 def sink_snapshot(spark, sf):
     base = scratch_dir(spark, "snapshot")
-    return spark.read.parquet(
-        write_snapshot(snapshot(spark, sf), base, SNAPSHOT_DATE, "accountid", files=8)
-    )
+    every = op.merge_accounts(feeds.blogs(spark, sf, None), None, SNAPSHOT_DATE.replace("-", ""))
+    return spark.read.parquet(write_snapshot(every, base, SNAPSHOT_DATE, "accountid", files=8))
 
 
 @query
@@ -454,6 +476,79 @@ def merge_posts_bucketed(spark, sf):
     return spark.table(table).select(*MERGED_POSTS)
 
 
+# Pipelines
+
+RUN_AT = dt.datetime(2024, 1, 20, 6)
+
+
+def ingested(spark, sf, feed, messages, topic) -> DataFrame:
+    """Two runs, the second after the offsets of the first: rows, broken text, offsets, counts."""
+    base = scratch_dir(spark, "ingest")
+    rows, offsets = f"{base}/rows", f"{base}/offsets"
+    runs = []
+    for k, events in enumerate((early(spark, sf), feeds.events(spark, sf))):
+        feeds.with_broken(messages(events)).write.parquet(f"{base}/log{k}")
+        sent = log.replay_resumed(spark.read.parquet(f"{base}/log{k}"), offsets, topic, GROUP)
+        at = RUN_AT + dt.timedelta(hours=k)
+        runs.append(plans.ingest(feed, sent, rows, offsets, topic, GROUP, EXEC_DATE, at, now()))
+    place = ["kafkapartition", "kafkaoffset"]
+    none = F.lit(None).cast("string")
+    kept = files.read_day(spark, rows, EXEC_DATE).select(F.lit("row").alias("kind"), *place, F.col(feed.key).alias("text"))
+    broken = [spark.read.parquet(broken_path(rows, r.path)) for r in runs]
+    texts = broken[0].union(broken[1]).select(F.lit("broken").alias("kind"), *place, F.col(BROKEN).alias("text"))
+    logged = spark.read.parquet(offsets).select(F.lit("offset").alias("kind"), place[0], F.col("latestoffset").alias(place[1]), none.alias("text"))
+    counts = spark.createDataFrame(
+        [("count", k, n, what) for k, r in enumerate(runs) for what, n in zip(("rows", "keyless", "broken"), r[1:])],
+        "kind STRING, kafkapartition INT, kafkaoffset BIGINT, text STRING",
+    )
+    return kept.union(texts).union(logged).union(counts)
+
+
+@query
+def ingest_posts(spark, sf):
+    return ingested(spark, sf, plans.POSTS, feeds.post_messages, "Posts")
+
+
+@query
+def ingest_metrics(spark, sf):
+    return ingested(spark, sf, plans.METRICS, feeds.metric_messages, "Metrics")
+
+
+@query
+def ingest_blogs(spark, sf):
+    return ingested(spark, sf, plans.BLOGS, feeds.blog_messages, "Blogs")
+
+
+@query
+def merge_blogs_after_gap(spark, sf):
+    """Day 17 is merged, day 18 is missed, day 19 takes both."""
+    base = scratch_dir(spark, "gap")
+    rows, days = feeds.blogs(spark, sf, None), ["2024-01-17", "2024-01-18", "2024-01-19"]
+    for day in days:
+        write_run(rows.where(F.col("execdate") == day), run_path(f"{base}/blogs", day, RUN_AT))
+    plans.merge_blogs(spark, f"{base}/blogs", f"{base}/merged", days[0])
+    return spark.read.parquet(plans.merge_blogs(spark, f"{base}/blogs", f"{base}/merged", days[-1]))
+
+
+@query
+def merge_day(spark, sf):
+    """Two days of all feeds over stored posts and a stored snapshot."""
+    base = scratch_dir(spark, "day")
+    blogs, posts, metrics, accounts, merged = (f"{base}/{n}" for n in ("blogs", "posts", "metrics", "accounts", "merged"))
+    write_stored_posts(history(spark, sf), merged)
+    write_snapshot(snapshot(spark, sf), accounts, SNAPSHOT_DATE, "accountid")
+    for k, day in enumerate(("2024-01-19", EXEC_DATE)):
+        half = F.col("kafkaoffset") % 2 == k
+        write_run(feeds.blogs(spark, sf).where(half), run_path(blogs, day, RUN_AT))
+        write_run(feeds.posts(spark, sf).where(half), run_path(posts, day, RUN_AT), plans.POSTS.day_of)
+        write_run(feeds.metrics(spark, sf).where(half), run_path(metrics, day, RUN_AT), plans.METRICS.day_of)
+        daily.merge_day(spark, blogs, accounts, posts, metrics, merged, day, LOWER)
+    shown = ["likescount", "viewscount", "commentscount", "kafkaoffset"]
+    kept = spark.read.parquet(merged).select(F.lit("post").alias("kind"), F.col(POST_KEY).alias("key"), F.col(POST_DATE).cast("string").alias("day"), *shown)
+    newest = spark.read.parquet(files.day_path(accounts, EXEC_DATE))
+    return kept.union(newest.select(F.lit("account"), "accountid", "mergedate", *shown))
+
+
 # Retention
 
 
@@ -514,15 +609,7 @@ def key_bucket(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_custkey").alias("c_custkey"))
     customers = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
     bucket = fn.key_bucket(F.concat(F.lit("c/"), F.col("c_custkey")), 255)
-    buckets = orders.union(customers).select("c_custkey", bucket.alias("b"))
-    per_key = buckets.groupBy("c_custkey").agg(
-        F.min("b").alias("low"), F.max("b").alias("high")
-    )
-    return customers.join(per_key, "c_custkey").select(
-        "c_custkey",
-        (F.col("high") - F.col("low") + 1).alias("buckets"),
-        F.col("low").between(0, 254).alias("in_range"),
-    )
+    return orders.union(customers).select("c_custkey", bucket.alias("bucket"))
 
 
 @query
@@ -550,12 +637,19 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(feeds.EVENTS).parquet(f"{sf}/events.parquet*")
 
 
+def late_event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events in eight files, two to a micro-batch, each with rows of all times."""
+    path = scratch_dir(spark, "events")
+    feeds.events(spark, sf).repartition(8, "event_id").write.parquet(path)
+    return spark.readStream.schema(feeds.EVENTS).option("maxFilesPerTrigger", 2).parquet(path)
+
+
 def streamed(spark, sf, feed, messages, fields) -> DataFrame:
     base = scratch_dir(spark, "stream")
     stream_ingest(
         feed, messages, f"{base}/rows", f"{base}/checkpoint", EXEC_DATE, now()
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/rows").select(*fields)
+    return files.read_day(spark, f"{base}/rows", EXEC_DATE).select(*fields)
 
 
 @query
@@ -580,24 +674,24 @@ def stream_ingest_blogs(spark, sf):
 def stream_upsert_blogs_query(spark, sf):
     base = scratch_dir(spark, "accounts")
     stream_upsert_blogs(
-        feeds.blog_rows(event_stream(spark, sf)),
-        f"{base}/versions",
+        feeds.blog_rows(late_event_stream(spark, sf)),
+        f"{base}/accounts",
         f"{base}/checkpoint",
         EXEC_DATE.replace("-", ""),
     ).awaitTermination()
-    return read_version(spark, f"{base}/versions")
+    return read_accounts(spark, f"{base}/accounts")
 
 
 @query
 def stream_upsert_posts_query(spark, sf):
     base = scratch_dir(spark, "posts")
-    stream = event_stream(spark, sf)
+    stream = late_event_stream(spark, sf)
     stream_upsert_posts(
-        feeds.post_rows(stream.where(F.col("event_type").isin(*feeds.POSTS))),
-        feeds.metric_rows(stream.where(F.col("event_type").isin(*feeds.METRICS))),
+        feeds.post_rows(stream.where(F.col("event_type").isin(*feeds.ALL_POSTS))),
+        feeds.metric_rows(stream.where(F.col("event_type").isin(*feeds.ALL_METRICS))),
         f"{base}/merged",
         f"{base}/checkpoint",
         LOWER,
         EXEC_DATE,
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/merged").select(*MERGED_POSTS)
+    return read_upserted_posts(spark, f"{base}/merged").select(*MERGED_POSTS)

@@ -17,9 +17,16 @@ def parse_day(value: DateLike) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 
-def as_date(column: Column | str) -> Column:
-    """Date of a date, timestamp or ISO text; anything unreadable is null."""
-    return (F.col(column) if isinstance(column, str) else column).try_cast("date")
+def as_date(column: Column | str, written: bool = False) -> Column:
+    """Date of a date, timestamp or ISO text; anything unreadable is null.
+
+    Text with a time is an instant, so it is dated in the session's zone like a
+    timestamp, whatever zone it was written in. ``written`` dates text by its first
+    ten characters instead.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    day = column.try_cast("date")
+    return day if written else F.coalesce(column.try_cast("timestamp").cast("date"), day)
 
 
 def compact_date(column: Column | str) -> Column:
@@ -38,7 +45,8 @@ def in_date_range(df: DataFrame, column: str, lower: DateLike, upper: DateLike)
         first = F.lit(lo).cast(kind)
         after = F.lit(hi + dt.timedelta(days=1)).cast(kind)
         return (F.col(column) >= first) & (F.col(column) < after)
-    return as_date(column).between(F.lit(lo), F.lit(hi))
+    day = F.col(column) if kind == "date" else as_date(column)
+    return day.between(F.lit(lo), F.lit(hi))
 
 
 def date_series(spark: SparkSession, lower: DateLike, upper: DateLike) -> DataFrame:

@@ -35,5 +35,11 @@ def url_key(column: Column | str, algorithm: str = "MD5") -> Column:
 
 
 def key_bucket(column: Column | str, buckets: int) -> Column:
-    """A stable bucket number for a key of any type, text included."""
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+    """A stable bucket number for a key of any type, text included; null goes to bucket 0.
+
+    It is the first 60 bits of the MD5 of the key's text, modulo ``buckets``, so other
+    systems find the same buckets.
+    """
+    text = (F.col(column) if isinstance(column, str) else column).cast("string")
+    digits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return F.coalesce(F.pmod(digits, F.lit(buckets)), F.lit(0)).cast("int")

@@ -17,16 +17,19 @@ from feedmerge.operators.join import (
 )
 from feedmerge.operators.latest import latest_per_key
 from feedmerge.operators.offsets import (
+    compact_offsets,
     latest_run,
+    of_reader,
     offsets_of,
     resume_offsets,
     starting_offsets_json,
 )
-from feedmerge.operators.overlay import merge_history, overlay_history
+from feedmerge.operators.overlay import merge_history, overlay_history, overlay_once
 from feedmerge.operators.retention import expired, kept
 from feedmerge.operators.snapshot import latest_accounts, merge_accounts, union_by_name
 
 __all__ = [
+    "compact_offsets",
     "decode_json",
     "distinct_days",
     "expired",
@@ -45,8 +48,10 @@ __all__ = [
     "merge_accounts",
     "merge_history",
     "merge_latest_posts_metrics",
+    "of_reader",
     "offsets_of",
     "overlay_history",
+    "overlay_once",
     "resume_offsets",
     "starting_offsets_json",
     "suffix_collisions",

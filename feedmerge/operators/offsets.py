@@ -23,8 +23,30 @@ def offsets_of(
     )
 
 
-def latest_run(log: DataFrame) -> DataFrame:
+def of_reader(log: DataFrame, topic: str | None, group: str | None) -> DataFrame:
+    """The log's rows of one topic and group; both filters reach its files."""
+    if topic is not None:
+        log = log.where(F.col("topic") == topic)
+    return log if group is None else log.where(F.col("consumergroup") == group)
+
+
+def compact_offsets(log: DataFrame) -> DataFrame:
+    """The log cut to the newest run of each reader and its highest offset per partition.
+
+    All runs resume from it as from the whole log, so a log that has grown can be
+    replaced by this.
+    """
+    reader = ["topic", "consumergroup", "kafkapartition"]
+    highest = F.struct("latestoffset", "execdate", "exectime")
+    found = log.groupBy(*reader).agg(F.max(highest).alias("top"))
+    return found.select(
+        "kafkapartition", "top.latestoffset", "topic", "consumergroup", "top.execdate", "top.exectime"
+    )
+
+
+def latest_run(log: DataFrame, topic: str | None = None, group: str | None = None) -> DataFrame:
     """Rows of the newest run in the log, with the offset to read next."""
+    log = of_reader(log, topic, group)
     run = F.struct("execdate", "exectime")
     # One row by construction: a global aggregate.
     newest = F.broadcast(log.agg(F.max(run).alias("run")).select("run.*"))
@@ -37,18 +59,32 @@ def latest_run(log: DataFrame) -> DataFrame:
 
 
 def resume_offsets(
-    log: DataFrame, partitions: DataFrame, scope: str = "all_runs", missing: int = EARLIEST
+    log: DataFrame,
+    partitions: DataFrame,
+    scope: str = "all_runs",
+    missing: int = EARLIEST,
+    topic: str | None = None,
+    group: str | None = None,
 ) -> DataFrame:
     """Starting offset of every topic partition.
 
     ``all_runs`` continues each partition after its own highest offset and reads
     unseen partitions from the start, so nothing is skipped. ``latest_run`` with
     ``missing=LATEST`` trusts the newest run alone, and skips partitions that
-    were silent in it.
+    were silent in it. A log of several topics or groups needs ``topic`` and
+    ``group``; without them its offsets would mix, so the query fails.
     """
+    log = of_reader(log, topic, group)
     if scope == "all_runs":
+        reader = F.struct("topic", "consumergroup")
         seen = log.groupBy("kafkapartition").agg(
-            (F.max("latestoffset") + 1).alias("startingoffset")
+            F.when(
+                F.min(reader) != F.max(reader),
+                F.raise_error(F.lit("the offset log has several topics or groups: name one")),
+            )
+            .otherwise(F.max("latestoffset") + 1)
+            .cast("bigint")
+            .alias("startingoffset")
         )
     elif scope == "latest_run":
         seen = latest_run(log).select("kafkapartition", "startingoffset")

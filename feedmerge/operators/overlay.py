@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmerge.operators.latest import latest_per_key
@@ -75,11 +75,58 @@ def overlay_history(
     return updated.unionByName(new.join(stored_keys, match, "left_anti"))
 
 
+NEW, LAID, NEXT = "__new", "__laid", "__next"
+
+
+def overlay_once(
+    delta: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str] = OVERLAY_KEYS,
+    fields: dict[str, str] = MERGED_POSTS,
+) -> DataFrame:
+    """``overlay_history`` with one scan and one shuffle of history, for few rows per key.
+
+    Both sides are shuffled together by the keys. A window hands the delta's row to
+    the history rows of its key, and the delta's row itself stays only if the key is
+    new. A key's rows meet in one task: merges leave few per key, and a history
+    with hot keys belongs to ``overlay_history``.
+    """
+    sides = (
+        conform(history, fields)
+        .withColumn(NEW, F.lit(False))
+        .unionByName(conform(delta, fields).withColumn(NEW, F.lit(True)))
+    )
+    known = F.lit(True)
+    for k in keys:
+        known &= F.col(k).isNotNull()
+    per_key = Window.partitionBy(*keys).orderBy(F.desc(NEW))
+    row = F.struct(*[c for c in fields if c not in keys])
+    laid = sides.select(
+        "*",
+        F.when(known, F.first(F.when(F.col(NEW), row)).over(per_key)).alias(LAID),
+        F.lead(NEW).over(per_key).alias(NEXT),
+    )
+    # A new row comes first in its key: an old row after it means that history has the key.
+    kept = laid.where(~F.col(NEW) | F.coalesce(NEXT, F.lit(True)) | ~known)
+    return kept.select(
+        *[F.col(c) if c in keys else F.coalesce(F.col(LAID)[c], F.col(c)).alias(c) for c in fields]
+    )
+
+
 def merge_history(
-    delta: DataFrame, history: DataFrame, spread_by: Sequence[str] | None = None
+    delta: DataFrame,
+    history: DataFrame,
+    spread_by: Sequence[str] | None = None,
+    once: bool = False,
 ) -> DataFrame:
-    """Overlay, then the newest row per post and reading within each post date."""
-    merged = overlay_history(delta, history, spread_by=spread_by)
+    """Overlay, then the newest row per post and reading within each post date.
+
+    ``once`` reads and shuffles a history with few rows per key one time.
+    """
+    if once:
+        merged = overlay_once(delta, history)
+    else:
+        merged = overlay_history(delta, history, spread_by=spread_by)
     return latest_per_key(
         merged, [POST_DATE, POST_KEY, "metrictimestamp"], HISTORY_ORDER, HISTORY_TIEBREAK
     )

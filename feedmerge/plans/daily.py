@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from feedmerge.functions.dates import DateLike
 from feedmerge.plans.merge_blogs import merge_blogs
-from feedmerge.plans.merge_posts import merge_posts
+from feedmerge.plans.merge_posts import LeftOut, merge_posts
 
 
 def merge_day(
@@ -20,8 +20,9 @@ def merge_day(
     lower: DateLike,
     prev_exec_date: DateLike | None = None,
     batch_size: int | None = None,
-) -> None:
+) -> LeftOut:
+    """Returns what the post merge left out."""
     merge_blogs(spark, blogs_path, merged_blogs_path, exec_date, prev_exec_date)
-    merge_posts(
+    return merge_posts(
         spark, posts_path, metrics_path, merged_posts_path, exec_date, lower, batch_size=batch_size
     )

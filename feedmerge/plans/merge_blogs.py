@@ -10,7 +10,12 @@ from feedmerge.operators.snapshot import ACCOUNT_KEY, merge_accounts
 from feedmerge.schemas import BLOGS_DELTA
 from feedmerge.sinks.files import write_snapshot
 from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
-from feedmerge.sources.files import day_path, read_day, read_if_exists, read_snapshot_before
+from feedmerge.sources.files import (
+    day_path,
+    read_days_after,
+    read_if_exists,
+    snapshot_day_before,
+)
 
 
 def merge_blogs(
@@ -21,19 +26,25 @@ def merge_blogs(
     prev_exec_date: DateLike | None = None,
     files: int | None = None,
 ) -> str:
-    """Merge the day's deltas into the previous snapshot and write the new one.
+    """Merge all deltas since the previous snapshot into it and write the day's.
 
-    The previous snapshot is that of ``prev_exec_date``, or the newest one before
-    the day. Only its absence means a first run.
+    The previous snapshot is that of ``prev_exec_date``, or the newest finished one
+    before the day. Only the absence of any means a first run. Delta days between it
+    and the day, which a schedule missed, are merged too.
     """
     day = parse_day(exec_date)
+    snapshot, since = None, None
     if prev_exec_date is None:
-        snapshot = read_snapshot_before(spark, merged_path, day)
+        since = snapshot_day_before(spark, merged_path, day)
+        if since is not None:
+            snapshot = spark.read.parquet(day_path(merged_path, since))
     elif parse_day(prev_exec_date) == day:
         raise ValueError("a snapshot cannot be merged into itself")
     else:
         snapshot = read_if_exists(spark, day_path(merged_path, prev_exec_date))
-    merged = merge_accounts(read_day(spark, blogs_path, day), snapshot, f"{day:%Y%m%d}")
+        since = None if snapshot is None else parse_day(prev_exec_date)
+    delta = read_days_after(spark, blogs_path, since, day)
+    merged = merge_accounts(delta, snapshot, f"{day:%Y%m%d}")
     return write_snapshot(merged, merged_path, day, ACCOUNT_KEY, files)
 
 
@@ -51,7 +62,7 @@ def create_blogs_table(
 def merge_blogs_table(
     spark: SparkSession, blogs_path: str, table: str, exec_date: DateLike
 ) -> None:
-    """``merge_blogs`` into a table of ``create_blogs_table``."""
+    """``merge_blogs`` into a table of ``create_blogs_table``, missed delta days included."""
     day = parse_day(exec_date)
     stored = spark.table(table)
     # Partition values only: the newest day comes from the table's metadata.
@@ -64,7 +75,7 @@ def merge_blogs_table(
         default=None,
     )
     today = F.lit(day)
-    delta = read_day(spark, blogs_path, day).withColumn(SNAPSHOT_DAY, today)
+    delta = read_days_after(spark, blogs_path, previous, day).withColumn(SNAPSHOT_DAY, today)
     snapshot = None
     if previous is not None:
         snapshot = stored.where(F.col(SNAPSHOT_DAY) == F.lit(previous))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,7 +93,8 @@ def merge_posts_metrics(
         return delta
     touched = history.join(days.withColumnRenamed(DAY, POST_DATE), POST_DATE, "left_semi")
     if buckets is None:
-        return merge_history(delta, touched)
+        # Merges leave few rows per post and date, so one task can hold a key.
+        return merge_history(delta, touched, once=True)
     return merge_history(delta.repartition(buckets, POST_KEY), touched, spread_by=[POST_KEY])
 
 
@@ -132,10 +135,11 @@ def merge_posts(
     format: str = "parquet",
     batch_size: int | None = None,
     dates_from: str = "posts",
-) -> None:
+) -> LeftOut:
     """Merge one day of deltas into the table partitioned by post date.
 
     One job over all dates; only the partitions of processed dates are replaced.
+    Returns how many delta rows had no id and were left out.
     """
     configure(spark)
     upper = parse_day(exec_date)
@@ -143,6 +147,17 @@ def merge_posts(
     history = read_stored_posts(spark, merged_path, lower, upper)
     merged = merge_posts_metrics(posts, metrics, history, lower, upper, batch_size, dates_from)
     write_stored_posts(merged, merged_path)
+    return LeftOut(without_id(posts), without_id(metrics))
+
+
+class LeftOut(NamedTuple):
+    posts: int
+    metrics: int
+
+
+def without_id(rows: DataFrame) -> int:
+    """Rows without an id; the filter reaches the files, so only their statistics and ids are read."""
+    return rows.where(F.col("id").isNull()).count()
 
 
 def create_posts_table(
@@ -162,7 +177,7 @@ def merge_posts_table(
     format: str = "parquet",
     batch_size: int | None = None,
     dates_from: str = "posts",
-) -> None:
+) -> LeftOut:
     """``merge_posts`` into a table of ``create_posts_table``.
 
     Only the day's deltas are shuffled. Merges leave one row per post and date,
@@ -177,3 +192,4 @@ def merge_posts_table(
         posts, metrics, history, lower, upper, batch_size, dates_from, bucket_count(spark, table)
     )
     replace_table_days(merged.withColumn(STORED_DATE, F.col(POST_DATE)), table)
+    return LeftOut(without_id(posts), without_id(metrics))

@@ -44,9 +44,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast after checking that ``df`` has at most ``max_rows`` rows.
+    """Hint a broadcast if ``df`` has at most ``max_rows`` rows, which are kept.
 
-    Anything larger is returned as it is, so the join shuffles instead.
+    The rows that were read for the check are the ones that are broadcast, so what
+    ``df`` is made of runs once. Anything larger is returned as it is, and the join
+    shuffles instead.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

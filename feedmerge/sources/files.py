@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -56,12 +57,12 @@ def read_day(
 def near_days(df: DataFrame, lower: DateLike, upper: DateLike) -> DataFrame:
     """Skip the day folders of a delta that are clearly outside a range.
 
-    A day to spare on both ends leaves the exact choice to the rows themselves,
-    whatever time zone the folders were named in.
+    Two days to spare on both ends leave the exact choice to the rows themselves,
+    whatever time zone the folders were named in: zones lie up to 26 hours apart.
     """
     if FOLDER_DAY not in df.columns:
         return df
-    spare = dt.timedelta(days=1)
+    spare = dt.timedelta(days=2)
     folder = F.col(FOLDER_DAY).cast("date")
     return df.where(
         folder.between(F.lit(parse_day(lower) - spare), F.lit(parse_day(upper) + spare))
@@ -91,17 +92,47 @@ def child_names(spark: SparkSession, base: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
-def read_snapshot_before(spark: SparkSession, base: str, exec_date: DateLike) -> DataFrame | None:
-    """The newest finished snapshot strictly before ``exec_date``, or None."""
-    limit = f"{parse_day(exec_date):%Y%m%d}"
-    days = [n for n in child_names(spark, base) if len(n) == 8 and n.isdigit() and n < limit]
+def day_folders(spark: SparkSession, base: str) -> list[dt.date]:
+    """Days that have a ``yyyyMMdd`` folder below ``base``, oldest first."""
+    return [parse_day(n) for n in child_names(spark, base) if len(n) == 8 and n.isdigit()]
+
+
+def snapshot_day_before(spark: SparkSession, base: str, exec_date: DateLike) -> dt.date | None:
+    """Day of the newest finished snapshot strictly before ``exec_date``, or None.
+
+    None means that there is no older folder at all. Older folders of which none is
+    finished are an error: taking them for a first run would drop what they hold.
+    """
+    days = [d for d in day_folders(spark, base) if d < parse_day(exec_date)]
     for day in reversed(days):
-        path = f"{base.rstrip('/')}/{day}"
-        if "_SUCCESS" in child_names(spark, path):
-            return spark.read.parquet(path)
+        if "_SUCCESS" in child_names(spark, day_path(base, day)):
+            return day
+    if days:
+        raise ValueError(f"no finished snapshot below {base}, only unfinished ones, the newest of {days[-1]}")
     return None
 
 
+def read_snapshot_before(spark: SparkSession, base: str, exec_date: DateLike) -> DataFrame | None:
+    """The newest finished snapshot strictly before ``exec_date``, or None."""
+    day = snapshot_day_before(spark, base, exec_date)
+    return None if day is None else spark.read.parquet(day_path(base, day))
+
+
+def read_days_after(
+    spark: SparkSession, base: str, after: DateLike | None, exec_date: DateLike, schema: str | None = None
+) -> DataFrame:
+    """Every run of the days after ``after`` up to ``exec_date``, which must be there.
+
+    Days that a schedule missed are read with the day itself; without ``after``, all
+    earlier days are.
+    """
+    last = parse_day(exec_date)
+    first = dt.date.min if after is None else parse_day(after)
+    days = [d for d in day_folders(spark, base) if first < d < last]
+    frames = [read_day(spark, base, d, schema) for d in [*days, last]]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_history(
     spark: SparkSession,
     path: str,

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedmerge.operators.offsets import EARLIEST, LATEST, resume_offsets, starting_offsets_json
+from feedmerge.operators.offsets import (
+    EARLIEST,
+    LATEST,
+    of_reader,
+    resume_offsets,
+    starting_offsets_json,
+)
 from feedmerge.session import broadcast_within
 from feedmerge.sources.files import read_if_exists
 
@@ -72,9 +78,10 @@ def read_kafka_resumed(
 ) -> DataFrame:
     """Continue after the offset log at ``offsets_path``, or start at the earliest."""
     log = read_if_exists(spark, offsets_path)
-    if log is None or log.isEmpty():
+    if log is None or of_reader(log, topic, group).isEmpty():
         return read_kafka(spark, servers, topic, group=group)
-    start = starting_offsets_json(resume_offsets(log, partitions, **resume), topic)
+    starts = resume_offsets(log, partitions, topic=topic, group=group, **resume)
+    start = starting_offsets_json(starts, topic)
     return read_kafka(spark, servers, topic, start.first()[0], group)
 
 
@@ -95,10 +102,19 @@ def replay(messages: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     )
 
 
-def replay_resumed(messages: DataFrame, offsets_path: str, **resume) -> DataFrame:
-    """Continue a stored log after its offset log, or read it all on the first run."""
+def replay_resumed(
+    messages: DataFrame,
+    offsets_path: str,
+    topic: str | None = None,
+    group: str | None = None,
+    **resume,
+) -> DataFrame:
+    """Continue a stored log after its offset log, or read it all on the first run.
+
+    An offset log of several topics or groups needs both names.
+    """
     log = read_if_exists(messages.sparkSession, offsets_path)
-    if log is None or log.isEmpty():
+    if log is None or of_reader(log, topic, group).isEmpty():
         return messages
-    partitions = log.select("kafkapartition").distinct()
-    return replay(messages, resume_offsets(log, partitions, **resume))
+    partitions = of_reader(log, topic, group).select("kafkapartition").distinct()
+    return replay(messages, resume_offsets(log, partitions, topic=topic, group=group, **resume))

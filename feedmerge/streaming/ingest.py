@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedmerge.functions.dates import as_date
 from feedmerge.plans.feeds import Feed
-from feedmerge.sources.files import FOLDER_DAY
+from feedmerge.sinks.files import write_run
+from feedmerge.sources.files import RUN, day_path
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint; it survives restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def stream_ingest(
@@ -15,22 +23,37 @@ def stream_ingest(
     messages: DataFrame,
     path: str,
     checkpoint: str,
-    exec_date: str,
+    exec_date: str | None = None,
     now: Column | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Append a stream of messages to flat files, each message exactly once.
+    """Write a stream of messages as runs that the daily merges read.
 
-    By default it reads what is there and stops, like a scheduled run.
+    Each micro-batch writes ``path/yyyyMMdd/run=<stream>-<batch>`` and a repeated batch
+    overwrites its own folder, so every message is there exactly once. The day is
+    that of the messages' own timestamp, which a repeated batch finds again, unless
+    ``exec_date`` fixes it. By default the stream reads what is there and stops.
     """
-    rows = feed.rows(messages, exec_date, now)
-    writer = rows.writeStream
-    if feed.day_of:
-        dated = rows.withColumn(FOLDER_DAY, as_date(feed.day_of))
-        writer = dated.writeStream.partitionBy(FOLDER_DAY)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = f"{RUN}={stream_id(spark, checkpoint)}-{batch_id:012d}"
+        batch.persist()
+        try:
+            if exec_date is not None:
+                days = [exec_date]
+            else:
+                # one row per day of a micro-batch
+                found = batch.select(F.to_date("timestamp").cast("string").alias("d")).distinct().collect()
+                days = sorted(r.d for r in found if r.d is not None)
+            for day in days:
+                part = batch if exec_date is not None else batch.where(F.to_date("timestamp") == F.lit(day).cast("date"))
+                write_run(feed.rows(part, day, now), f"{day_path(path, day)}/{run}", feed.day_of)
+        finally:
+            batch.unpersist()
+
     return (
-        writer.format("parquet")
-        .option("path", path)
+        messages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

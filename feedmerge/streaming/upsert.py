@@ -1,37 +1,37 @@
 """Continuous upserts with ``foreachBatch``.
 
-Every micro-batch reads the newest version below its own number and writes a
-version of that number, so a batch that runs again gives the same table.
+State is kept as the newest rows of each key, chosen by event time and log position
+and never by arrival. Merging the same rows again changes nothing, so a repeated
+batch is harmless, a new checkpoint may go on over an old base, and the result is
+that of one batch over all rows, in whatever order and batches they came.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmerge.functions.dates import DateLike
-from feedmerge.operators.snapshot import merge_accounts
-from feedmerge.plans.merge_posts import merge_posts_metrics, read_stored_posts, write_stored_posts
+from feedmerge.functions.keys import key_bucket
+from feedmerge.operators.join import (
+    DAY,
+    METRIC_ORDER,
+    POST_ORDER,
+    filter_date_range,
+    merge_latest_posts_metrics,
+)
+from feedmerge.operators.latest import latest_per_key
+from feedmerge.operators.overlay import conform
+from feedmerge.operators.snapshot import ACCOUNT_KEY, latest_accounts
 from feedmerge.schemas import METRICS_DELTA, POSTS_DELTA
-from feedmerge.session import configure
-from feedmerge.sources.files import child_names
+from feedmerge.sinks.files import replace_partitions
+from feedmerge.sources.files import read_if_exists
 
-
-def version_path(base: str, batch_id: int) -> str:
-    return f"{base.rstrip('/')}/{batch_id:012d}"
-
-
-def read_version(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
-    """The newest finished version, or the newest one below ``before``."""
-    names = [n for n in child_names(spark, base) if n.isdigit()]
-    for name in reversed(names):
-        path = f"{base.rstrip('/')}/{name}"
-        if (before is None or int(name) < before) and "_SUCCESS" in child_names(spark, path):
-            return spark.read.parquet(path)
-    return None
+BUCKET = "bucket"
+STATE_DAY = "stateday"
 
 
 def _start(
@@ -48,15 +48,54 @@ def _start(
     )
 
 
+def _merge_into(
+    fresh: DataFrame, path: str, by: str, newest: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Merge rows into the stored partitions that they touch, and replace only those."""
+    spark = fresh.sparkSession
+    fresh = newest(fresh).persist()
+    try:
+        # one row per touched partition: buckets or days
+        touched = [r[0] for r in fresh.select(by).distinct().collect()]
+        if not touched:
+            return
+        stored = read_if_exists(spark, path)
+        if stored is not None:
+            old = stored.withColumn(by, F.col(by).cast(fresh.schema[by].dataType))
+            merged = newest(old.where(F.col(by).isin(touched)).unionByName(fresh, allowMissingColumns=True))
+        else:
+            merged = fresh
+        replace_partitions(merged, path, [by])
+    finally:
+        fresh.unpersist()
+
+
+def read_accounts(spark: SparkSession, base: str) -> DataFrame | None:
+    """The accounts of ``stream_upsert_blogs``, or None before the first batch."""
+    stored = read_if_exists(spark, base)
+    return None if stored is None else stored.drop(BUCKET)
+
+
 def stream_upsert_blogs(
-    blogs: DataFrame, base: str, checkpoint: str, merge_date: str, trigger: dict | None = None
+    blogs: DataFrame,
+    base: str,
+    checkpoint: str,
+    merge_date: str | Column | None = None,
+    trigger: dict | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
-    """Keep the newest row per account; late rows lose to newer stored ones."""
+    """Keep the newest row per account; late rows lose to newer stored ones.
+
+    Accounts lie in ``buckets`` partitions by key; a batch rewrites those it touches.
+    ``mergedate`` is the day of the row's own time unless ``merge_date`` fixes it.
+    """
+    if merge_date is None:
+        merge_date = F.date_format("currenttimestamp", "yyyyMMdd")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        snapshot = read_version(batch.sparkSession, base, batch_id)
-        merged = merge_accounts(batch, snapshot, merge_date)
-        merged.write.mode("overwrite").parquet(version_path(base, batch_id))
+        stamped = batch.withColumn("mergedate", F.lit(merge_date))
+        placed = stamped.withColumn(BUCKET, key_bucket(ACCOUNT_KEY, buckets))
+        _merge_into(placed, base, BUCKET, latest_accounts)
 
     return _start(blogs, checkpoint, trigger, upsert)
 
@@ -68,6 +107,21 @@ def tag_feeds(posts: DataFrame, metrics: DataFrame) -> DataFrame:
     )
 
 
+def read_upserted_posts(spark: SparkSession, path: str) -> DataFrame | None:
+    """The merged posts of ``stream_upsert_posts``: counts and the latest day resolved."""
+    posts, metrics = (read_if_exists(spark, f"{path.rstrip('/')}/{name}") for name in ("posts", "metrics"))
+    if posts is None and metrics is None:
+        return None
+
+    def side(rows: DataFrame | None, fields: dict[str, str]) -> DataFrame:
+        if rows is None:
+            empty = ", ".join(f"`{c}` {t}" for c, t in {**fields, DAY: "DATE"}.items())
+            return spark.createDataFrame([], empty)
+        return rows.withColumn(DAY, F.col(STATE_DAY).cast("date")).select(*fields, DAY)
+
+    return conform(merge_latest_posts_metrics(side(posts, POSTS_DELTA), side(metrics, METRICS_DELTA)))
+
+
 def stream_upsert_posts(
     posts: DataFrame,
     metrics: DataFrame,
@@ -77,28 +131,19 @@ def stream_upsert_posts(
     upper: DateLike,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Overlay each micro-batch on the stored posts of the dates it touches.
+    """Keep the newest post row and the newest metric row of every post and day.
 
-    Laying the same rows over their own result changes nothing, so a repeated
-    batch is harmless. A metric may arrive before its post, so the dates of both
-    feeds are processed.
+    The two stay apart below ``path``, so it does not matter which came first;
+    ``read_upserted_posts`` joins them. A batch rewrites the days it touches.
     """
+    keys = ["id", STATE_DAY]
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = configure(batch.sparkSession)
-        batch.persist()
-        try:
-            history = read_stored_posts(spark, path, lower, upper)
-            merged = merge_posts_metrics(
-                batch.where(F.col("post").isNotNull()).select("post.*"),
-                batch.where(F.col("metric").isNotNull()).select("metric.*"),
-                history,
-                lower,
-                upper,
-                dates_from="both",
+        for name, order in (("post", POST_ORDER), ("metric", METRIC_ORDER)):
+            rows = batch.where(F.col(name).isNotNull()).select(f"{name}.*").where("id is not null")
+            dated = filter_date_range(rows, "partdate", lower, upper, STATE_DAY)
+            _merge_into(
+                dated, f"{path.rstrip('/')}/{name}s", STATE_DAY, lambda df, o=order: latest_per_key(df, keys, o, ())
             )
-            write_stored_posts(merged, path)
-        finally:
-            batch.unpersist()
 
     return _start(tag_feeds(posts, metrics), checkpoint, trigger, upsert)

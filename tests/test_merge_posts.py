@@ -10,10 +10,11 @@ from feedmerge.operators import (
     merge_history,
     merge_latest_posts_metrics,
     overlay_history,
+    overlay_once,
     suffix_collisions,
 )
 from feedmerge.plans import merge_posts_metrics
-from feedmerge.schemas import MERGED_POSTS, METRICS_DELTA, POSTS_DELTA
+from feedmerge.schemas import MERGED_POSTS, METRICS_DELTA, POSTS_DELTA, ddl
 from helpers import merged, metrics, plan, posts, random_feeds, rows
 
 LOWER, UPPER = "2024-01-05", "2024-01-20"
@@ -311,3 +312,24 @@ def test_hot_id_is_split_in_the_join_of_all_pairs(spark):
     assert len(hot) == 10_000 and {r.likescount for r in hot} == {5}
     # Every metric but the hot one keeps its own row; posts 1, 2 and 5 have none.
     assert len(found) == 10_000 + 29_995 + 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_shuffle_overlay_equals_the_join(spark, seed):
+    old = merge_posts_metrics(*feeds(spark, seed + 50), None, "2024-01-01", "2024-01-30")
+    new = merge_posts_metrics(*feeds(spark, seed), None, "2024-01-01", "2024-01-30")
+    nulls = merged(spark, {"partdate_pmd": DAY, "blogid": "n"}, {"post_id": "p1", "blogid": "d"})
+    old, new = old.unionByName(nulls), new.unionByName(nulls)
+    assert rows(overlay_once(new, old)) == rows(overlay_history(new, old))
+    assert rows(merge_history(new, old, once=True)) == rows(merge_history(new, old))
+
+
+def test_stored_posts_are_scanned_and_shuffled_once(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    old = merge_posts_metrics(*feeds(spark, 50), None, "2024-01-01", "2024-01-30")
+    old.write.parquet(path)
+    stored = spark.read.parquet(path)
+    delta = spark.createDataFrame([], ddl(MERGED_POSTS)).unionByName(merged(spark, {"post_id": "x", "partdate_pmd": DAY}))
+    text = plan(merge_history(delta, stored, once=True))
+    assert text.count("FileScan parquet") == 1
+    assert text.count("Exchange hashpartitioning") == 1

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from feedmerge.operators import latest_run, offsets_of, resume_offsets, starting_offsets_json
+from feedmerge.operators import compact_offsets, latest_run, offsets_of, resume_offsets, starting_offsets_json
 from feedmerge.schemas import OFFSET_LOG
 from feedmerge.sinks import append_offsets
 from feedmerge.sources.files import read_if_exists
@@ -51,6 +51,27 @@ def test_newest_run_wins_by_date_then_time(spark):
     assert starts(latest_run(log(spark, *RUNS))) == {0: 16}
 
 
+def test_topics_and_groups_stay_apart(spark, tmp_path):
+    path = str(tmp_path / "offsets")
+    runs = [("Posts", "g", 100), ("Blogs", "g", 5), ("Blogs", "h", 50)]
+    made = [
+        {"kafkapartition": 0, "latestoffset": o, "topic": t, "consumergroup": g, "execdate": "d", "exectime": "t"}
+        for t, g, o in runs
+    ]
+    mixed, topic = frame(spark, OFFSET_LOG, made), partitions(spark, 1)
+    for t, g, o in runs:
+        for scope in ("all_runs", "latest_run"):
+            assert starts(resume_offsets(mixed, topic, scope, topic=t, group=g)) == {0: o + 1}
+    with pytest.raises(Exception, match="several topics"):
+        resume_offsets(mixed, topic).collect()
+    append_offsets(compact_offsets(mixed.union(mixed)), path)
+    assert spark.read.parquet(path).count() == 3
+    sent = messages(spark, (0, 5), (0, 6), (0, 51))
+    assert replay_resumed(sent, path, "Blogs", "g").count() == 2
+    assert replay_resumed(sent, path, "Blogs", "h").count() == 1
+    assert replay_resumed(sent, path, "Metrics", "g").count() == 3
+
+
 def test_silent_and_new_partitions(spark):
     runs, topic = log(spark, *RUNS), partitions(spark, 3)
     assert starts(resume_offsets(runs, topic)) == {0: 16, 1: 21, 2: -2}

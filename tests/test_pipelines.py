@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from checks import feeds
 from feedmerge.plans import BLOGS, POSTS, count_rows, ingest, merge_blogs, merge_posts
 from feedmerge.plans.daily import merge_day
+from feedmerge.plans.ingest import broken_path
 from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_table
 from feedmerge.plans.merge_posts import (
     create_posts_table,
@@ -44,7 +45,7 @@ def test_ingest_resumes_and_repeats_nothing(spark, sf, tmp_path):
         POSTS, replay_resumed(sent, log), base, log, "Posts", "g", DAY, later + dt.timedelta(hours=1)
     )
     assert first < second < third
-    assert spark.read.parquet(first).count() == early.count()
+    assert spark.read.parquet(first.path).count() == early.count()
     both = read_day(spark, base, DAY)
     assert both.count() == sent.count() == both.select("kafkapartition", "kafkaoffset").distinct().count()
     assert "postdate" in both.columns
@@ -55,7 +56,7 @@ def test_ingest_resumes_and_repeats_nothing(spark, sf, tmp_path):
 def test_ingest_of_an_empty_batch(spark, sf, tmp_path):
     base, log = str(tmp_path / "blogs"), str(tmp_path / "offsets")
     none = feeds.blog_messages(events(spark, sf).where("false"))
-    path = ingest(BLOGS, none, base, log, "Blogs", "g", DAY, NOW)
+    path, *_ = ingest(BLOGS, none, base, log, "Blogs", "g", DAY, NOW)
     assert spark.read.parquet(path).count() == 0
 
 
@@ -66,8 +67,11 @@ def test_rows_without_key_are_counted(spark, tmp_path):
         [(bytearray(t, "utf8"), 0, i) for i, t in enumerate(texts)],
         "value BINARY, partition INT, offset BIGINT",
     )
-    path = ingest(POSTS, sent, base, log, "Posts", "g", DAY, NOW)
-    assert count_rows(spark, POSTS, path) == (3, 2)
+    done = ingest(POSTS, sent, base, log, "Posts", "g", DAY, NOW)
+    assert count_rows(spark, POSTS, done.path) == (3, 2)
+    assert done[1:] == (3, 2, 1)
+    kept = spark.read.parquet(broken_path(base, done.path)).collect()
+    assert [(r.kafkaoffset, r.brokentext) for r in kept] == [(1, "{broken")]
     assert spark.read.parquet(log).first().latestoffset == 2
 
 
@@ -100,6 +104,31 @@ def test_blog_merge_over_three_days(spark, sf, tmp_path):
         merge_blogs(spark, base, out, days[-1], prev_exec_date=days[-1])
 
 
+def test_missed_days_are_merged(spark, sf, tmp_path):
+    base, out = str(tmp_path / "blogs"), str(tmp_path / "merged")
+    rows_all = feeds.blogs(spark, sf, None)
+    days = [dt.date(2024, 1, d) for d in (17, 18, 19)]
+    for day in days:
+        write_run(rows_all.where(F.col("execdate") == str(day)), run_path(base, day, NOW))
+    create_blogs_table(spark, "gap_accounts", 3, f"{tmp_path}/table")
+    for day in (days[0], days[2]):
+        merge_blogs(spark, base, out, day)
+        merge_blogs_table(spark, base, "gap_accounts", day)
+    wanted = rows_all.where(F.col("execdate").isin([str(d) for d in days]))
+    accounts = wanted.select("accountid").distinct().count()
+    assert spark.read.parquet(f"{out}/20240119").count() == accounts
+    table = spark.table("gap_accounts").where("snapshotdate = date'2024-01-19'")
+    assert table.count() == accounts
+    spark.sql("DROP TABLE gap_accounts")
+
+
+def test_only_unfinished_snapshots_are_an_error(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "20240101"))
+    (tmp_path / "20240101" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="20240101|2024-01-01"):
+        read_snapshot_before(spark, str(tmp_path), "2024-01-03")
+
+
 def test_unfinished_snapshot_is_passed_over(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "20240101"))
     (tmp_path / "20240102").mkdir()
