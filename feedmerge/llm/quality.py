@@ -30,8 +30,8 @@ from .common import held_out, in_one_task, label_share, labelled_sample, logisti
 PER_CLASS = 2500
 FIT_BYTES = 6 << 20
 DICT_BYTES = 64 << 10
-BLOCK = 2048
-LEVEL = 1
+BLOCK = 512
+LEVEL = 3
 THRESHOLD = 0.7
 
 
