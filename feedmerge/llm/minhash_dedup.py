@@ -13,8 +13,8 @@
 4. Verified links give components. In a bucket whose members lie in several, members of
    other components are candidates with its leader. A bucket that is still not of one
    component may hide a link that is not to its leader: its members are cut into blocks and
-   blocks are compared, only between components, by the same sequential test; survivors are
-   verified and the components joined. So all pairs that share a bucket are settled.
+   blocks are compared, only between components, by the same sequential test and by
+   their sets in 32-bit hashes; what is left is verified on full sets and joins components. So all pairs that share a bucket are settled.
 
 With ``HASHES`` = 128 and bands of 4, a pair at exactly the threshold of 0.75 shares no
 bucket with probability 5e-6; above it less. Nothing is capped or sampled.
@@ -46,6 +46,8 @@ BAND = 4
 MISS = 1e-6
 BATCH = 16
 BLOCK = 256
+#: Equal 32-bit hashes of different shingles that a pair may have before it is misjudged.
+SLACK = 4
 
 
 def shingle_sets(texts: pa.Array, tables: ByteTables, powers: PowerTable, n: int = SHINGLE) -> list[np.ndarray]:
@@ -137,6 +139,16 @@ def signed(docs: DataFrame) -> DataFrame:
     return with_columns(docs.select("doc_id", "text"), "n_shingles bigint, set_key binary, sig binary", make).drop("text")
 
 
+def buckets_of(sig: np.ndarray, band: int = BAND) -> np.ndarray:
+    """The bucket of each band of each signature."""
+    values = sig.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        h = np.arange(values.shape[1] // band, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+        for i in range(band):
+            h = mix(h ^ values[:, i::band]) + np.uint64(i + 1)
+    return h.view(np.int64)
+
+
 def banded(reps: DataFrame, band: int = BAND) -> DataFrame:
     """(bucket, id): a row for each band of each signature."""
 
@@ -144,14 +156,9 @@ def banded(reps: DataFrame, band: int = BAND) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = matrix(batch.column("sig")).astype(np.uint64)
-            bands = values.shape[1] // band
-            with np.errstate(over="ignore"):
-                h = np.arange(bands, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-                for i in range(band):
-                    h = mix(h ^ values[:, i::band]) + np.uint64(i + 1)
+            found = buckets_of(matrix(batch.column("sig")), band)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(batch.column("id").to_numpy(zero_copy_only=False), bands))],
+                [pa.array(found.ravel()), pa.array(np.repeat(batch.column("id").to_numpy(zero_copy_only=False), found.shape[1]))],
                 names=["bucket", "id"],
             )
 
@@ -191,12 +198,32 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_columns(both, "linked boolean", make, "tb").select("a", "b", "linked")
 
 
+def short_sets(texts: DataFrame) -> DataFrame:
+    """(id, short): the sets as sorted distinct 32-bit hashes, for tests inside blocks."""
+
+    def make():
+        tables, powers = ByteTables.not_space(), PowerTable()
+
+        def work(batch):
+            sets = shingle_sets(batch.column("text"), tables, powers)
+            return {"short": [np.unique(x.astype(np.uint32)).tobytes() for x in sets]}
+
+        return work
+
+    return with_columns(texts.select("id", "text"), "short binary", make).drop("text")
+
+
 def compare_blocks(members: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that pass the sequential test.
+    """Pairs of different components in one bucket that are worth an exact check.
 
-    ``members``: bucket, id, component, sig, ``n`` (members of the bucket) and ``own``
+    ``members``: bucket, id, component, sig, short, ``n`` (members of the bucket) and ``own``
     (members of the component in it). A component of more than half a block has
     blocks of its own, small ones share blocks, and no two blocks of one component meet.
+
+    A pair is looked at in the first bucket it shares. If it passes the sequential test,
+    its 32-bit sets tell its similarity up to a few equal hashes. Pairs below the
+    threshold by more than ``SLACK`` shingles are dropped, those above it by as much are
+    thinned to a forest that connects the same members, and those in between all stay.
     """
     rule = least_matches()
     large = F.col("own") > BLOCK // 2
@@ -205,7 +232,7 @@ def compare_blocks(members: DataFrame) -> DataFrame:
     )
     alone = F.when(large, F.col("component"))
     blocks = members.groupBy("bucket", alone.alias("alone"), within.alias("part")).agg(
-        F.collect_list(F.struct("id", "component", "sig")).alias("m")
+        F.collect_list(F.struct("id", "component", "sig", "short")).alias("m")
     )
     side = lambda c: blocks.select("bucket", F.struct(F.coalesce("alone", F.lit(-1).cast("long")), F.col("alone").isNull(), "part").alias(f"k{c}"), F.col("alone").alias(f"o{c}"), F.col("m").alias(f"m{c}"))
     met = side("a").join(side("b"), "bucket").where("ka <= kb and (oa is null or ob is null or oa <> ob)")
@@ -213,13 +240,52 @@ def compare_blocks(members: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                (ia, ca, sa), (ib, cb, sb) = (_unpack(batch.column(c)[row].as_py()) for c in ("ma", "mb"))
+                bucket = batch.column("bucket")[row].as_py()
+                (ia, ca, sa, ta), (ib, cb, sb, tb) = (_unpack(batch.column(c)[row].as_py()) for c in ("ma", "mb"))
                 x, y = np.nonzero((ca[:, None] != cb[None, :]) & (ia[:, None] != ib[None, :]))
-                ok = survives(sa[x], sb[y], rule)
-                a, b = ia[x[ok]], ib[y[ok]]
+                if batch.column("same")[row].as_py():
+                    x, y = x[x < y], y[x < y]
+                ha, hb = buckets_of(sa), buckets_of(sb)
+                found = []
+                for i in range(0, len(x), 4096):
+                    p, q = x[i : i + 4096], y[i : i + 4096]
+                    ok = survives(sa[p], sb[q], rule)
+                    p, q = p[ok], q[ok]
+                    same = ha[p] == hb[q]
+                    first = ha[p, same.argmax(axis=1)] == bucket
+                    found += zip(p[first].tolist(), q[first].tolist())
+                pairs = _worth_checking(found, ia, ib, ta, tb)
+                a, b = (np.array([r[k] for r in pairs], np.int64) for k in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return met.select("ma", "mb").mapInArrow(run, "a bigint, b bigint").distinct()
+    return met.select("bucket", (F.col("ka") == F.col("kb")).alias("same"), "ma", "mb").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _worth_checking(found, ia, ib, ta, tb) -> list[tuple[int, int]]:
+    up, down = THRESHOLD
+    root: dict[int, int] = {}
+
+    def top(v: int) -> int:
+        while root.setdefault(v, v) != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    out = []
+    for i, j in found:
+        u, v = ta[i], tb[j]
+        same = len(np.intersect1d(u, v, assume_unique=True))
+        margin = down * same - up * (len(u) + len(v) - same)
+        if margin < -SLACK * (up + down):
+            continue
+        a, b = int(ia[i]), int(ib[j])
+        if margin > SLACK * (up + down):
+            p, q = top(a), top(b)
+            if p == q:
+                continue
+            root[p] = q
+        out.append((a, b))
+    return out
 
 
 def still_split(inside: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
@@ -234,9 +300,10 @@ def still_split(inside: DataFrame, found: DataFrame, scratch: Scratch) -> DataFr
     return placed.join(split, "bucket").select("bucket", "id", "first", "n", "component", "of_first")
 
 
-def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(len(rows), -1)
-    return np.array([r["id"] for r in rows]), np.array([r["component"] for r in rows]), sig
+    short = [np.frombuffer(r["short"], np.uint32) for r in rows]
+    return np.array([r["id"] for r in rows]), np.array([r["component"] for r in rows]), sig, short
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -276,7 +343,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not mixed.isEmpty():
         sized = scratch.put(mixed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("own")))
         members = mixed.select("bucket", "id", "component", "n").join(sized, ["bucket", "component"])
-        blocks = compare_blocks(members.join(reps.select("id", "sig"), "id"))
+        sets = scratch.put(short_sets(texts.join(mixed.select("id").distinct(), "id", "left_semi")))
+        blocks = compare_blocks(members.join(reps.select("id", "sig"), "id").join(sets, "id"))
         fresh = scratch.put(blocks).join(checked.select("a", "b"), ["a", "b"], "left_anti")
         more = scratch.put(verified(fresh, texts).where("linked").select("a", "b"))
         if not more.isEmpty():

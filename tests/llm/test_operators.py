@@ -678,3 +678,19 @@ def test_quality_of_hard_rows(spark):
     assert all(0 <= r.score <= 1 for r in got.values()) and len(got) == len({r[0] for r in HARD + rows})
     assert sum(got[r[0]].predicted != (r[0] % 2 == 0) for r in rows) <= 4
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_blocks_settle_what_leaders_miss(spark):
+    """Copies of one text that are near each other only in part, so buckets stay split."""
+    rng = random.Random(15)
+    base = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(80)]
+    rows = []
+    for i in range(260):
+        copy = list(base)
+        for k in rng.sample(range(80), rng.choice([1, 2, 3, 4])):
+            copy[k] = "x" + str(rng.randrange(1000))
+        rows.append((i, " ".join(copy), "en", "s"))
+    want = brute_components([r[:2] for r in rows])
+    got = minhash_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert 1 < len(set(want.values())) < 200
