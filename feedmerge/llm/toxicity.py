@@ -57,6 +57,14 @@ class ToxicityModel:
     document: np.ndarray
 
 
+def lowered(text: str) -> str:
+    """Lower case at the same positions; the few letters with longer lower forms stay."""
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    return lower
+
+
 def own_features(word: str) -> list[int]:
     """Hashed features of a token by itself."""
     b = word.encode("utf-8", "surrogatepass")
@@ -200,7 +208,7 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit_local(texts: list[str], y: np.ndarray, prior: float, seed: int = 7) -> ToxicityModel | None:
     """The field on two thirds of the sample, the calibration on the rest."""
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
+    tokens = [TOKEN.findall(lowered(t)) for t in texts]
     kept = distinct(tokens)
     tokens, y = [tokens[i] for i in kept], y[kept]
     rest = np.arange(len(y)) % 3 == 2
@@ -360,7 +368,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "te
             texts = batch.column(text).to_pylist()
             if model is None:
                 return {"toxicity": [0.0] * len(texts), "toxic_spans": [[] for _ in texts]}
-            p, begin, end = tagger.marginals([TOKEN.findall(t.lower()) if t else [] for t in texts])
+            p, begin, end = tagger.marginals([TOKEN.findall(lowered(t)) if t else [] for t in texts])
             value = 1 / (1 + np.exp(-np.clip(evidence_of(p, begin, end) @ model.document, -30, 30)))
             value[begin == end] = 0
             return {"toxicity": value, "toxic_spans": [spans(t, p[a:b]) for t, a, b in zip(texts, begin, end)]}
@@ -374,13 +382,11 @@ def spans(text: str | None, p: np.ndarray) -> list[dict]:
     """Runs of tokens with a marginal of at least one half, as code point offsets."""
     if not len(p) or p.max() < 0.5:
         return []
-    lower = text.lower()
-    if len(lower) != len(text):  # a few letters have longer lower forms
-        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    lower = lowered(text)
     out: list[dict] = []
     before = -2
     for i, m in enumerate(TOKEN.finditer(lower)):
-        if i < len(p) and p[i] >= 0.5:
+        if p[i] >= 0.5:
             if before == i - 1:
                 out[-1]["end"] = m.end()
                 out[-1]["score"] = max(out[-1]["score"], float(p[i]))

@@ -114,6 +114,13 @@ def test_chain_equals_all_paths():
     assert np.allclose(long, np.tile(want, 50))
 
 
+def test_offsets_hold_where_lower_case_is_longer():
+    text = "İİ İstanbul zyrkon"
+    words = toxicity.TOKEN.findall(toxicity.lowered(text))
+    found = toxicity.spans(text, np.array([0.0] * (len(words) - 1) + [0.9]))
+    assert [text[s["start"] : s["end"]] for s in found] == ["zyrkon"]
+
+
 def toxic_corpus(n=240, seed=1):
     rng = random.Random(seed)
     plain = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(300)]

@@ -52,7 +52,7 @@ def test_toxic_documents_go(spark, stages):
     model = toxicity.fit_toxicity(out[0], labels)
     tagger = toxicity.Tagger(model)
     rows = out[0].collect()
-    p, begin, end = tagger.marginals([toxicity.TOKEN.findall((r.text or "").lower()) for r in rows])
+    p, begin, end = tagger.marginals([toxicity.TOKEN.findall(toxicity.lowered(r.text or "")) for r in rows])
     score = 1 / (1 + np.exp(-(toxicity.evidence_of(p, begin, end) @ model.document)))
     want = {r.doc_id for r, s in zip(rows, score) if s < toxicity.THRESHOLD}
     got = {r.doc_id for r in out[1].collect()}
