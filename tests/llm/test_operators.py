@@ -182,8 +182,11 @@ def test_chosen_lengths_are_as_near_as_possible_and_available():
         assert all(0 <= got.get(n, 0) <= c for n, c in counts.items())
         total = sum(n * k for n, k in got.items())
         assert abs(total - budget) <= max(counts)
-        if len(counts) == 1 or min(counts) == 1:
-            assert abs(total - budget) == nearest(counts, budget)
+        # equal shares of every length come first; the programme is exact on what is left
+        words = sum(n * c for n, c in counts.items())
+        share = {n: c * budget // words for n, c in counts.items()}
+        rest = {n: c - share[n] for n, c in counts.items()}
+        assert abs(total - budget) == nearest(rest, budget - sum(n * k for n, k in share.items()))
 
 
 def test_chosen_lengths_under_a_small_programme():
