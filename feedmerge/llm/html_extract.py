@@ -42,10 +42,12 @@ CONTENT = 0.7
 
 # Element names of the HTML standard by how they are parsed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math object q rp rt ruby s samp small span "
+    "strike strong sub sup time tt u var wbr "
+    "annotation maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -62,16 +64,15 @@ IMPLIED = {
     "option": (("option",), ("select", "datalist")),
 }
 SKIP_TAGS = frozenset(
-    "head nav footer aside form button select option textarea input script style noscript template iframe svg math object embed "
-    "canvas audio video dialog menu title link meta search".split()
+    "head nav footer aside form button select option textarea input script style noscript template iframe svg embed "
+    "canvas audio video menu title link meta search".split()
 )
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 SKIP_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion "
-    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc "
-    "sidebar aside header masthead topbar footer copyright "
+    "nav navbar navigation menu breadcrumb breadcrumbs pagination pager "
+    "sidebar aside header masthead topbar footer "
     "cookie cookies consent notice gdpr popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social related recommended recommendations trending "
     "comment comments disqus reply replies respond".split()
 )
 
@@ -79,7 +80,11 @@ SKIP_WORDS = frozenset(
 QUALIFIERS = frozenset("has with no without not".split())
 #: Words with which a header is that of an article.
 OF_ARTICLE = frozenset("article post entry story content".split())
+#: Last words of a name that say where or in what an element is, but not what it is.
+NEUTRAL = frozenset("area bar block box bottom column container content group holder inner item left list outer right section slot top unit widget wrap wrapper".split())
 NEVER_SKIP = frozenset("html body main".split())
+#: Headings and text blocks, whose ids are made from their text.
+TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr table caption blockquote pre figure figcaption".split())
 
 TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)", re.S)
 ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.I)
@@ -100,7 +105,8 @@ class Node:
                 if name == "class":
                     self.label = f"{tag}.{value}"
                 if name in ("class", "id"):
-                    self.skip |= names_boilerplate(value)
+                    judged = tag != "article" and not (name == "id" and tag in TEXT_BLOCKS)
+                    self.skip |= judged and names_boilerplate(value)
                 elif name == "role":
                     self.skip |= value.lower() in SKIP_ROLES
                 else:
@@ -109,10 +115,15 @@ class Node:
 
 
 def names_boilerplate(value: str) -> bool:
-    """Whether a class or id says that its element is not content; each name is judged by itself."""
+    """Whether a class or id says that its element is not content.
+
+    Each name is judged by itself: by its last word, or the last before words like ``wrapper``.
+    """
     for name in value.split():
-        words = {w.lower() for w in TOKEN.findall(name)}
-        if words & SKIP_WORDS and not words & QUALIFIERS and not (words & SKIP_WORDS == {"header"} and words & OF_ARTICLE):
+        words = [w.lower() for w in TOKEN.findall(name)]
+        while len(words) > 1 and words[-1] in NEUTRAL:
+            words.pop()
+        if words and words[-1] in SKIP_WORDS and QUALIFIERS.isdisjoint(words) and not (words[-1] == "header" and OF_ARTICLE.intersection(words)):
             return True
     return False
 

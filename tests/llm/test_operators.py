@@ -282,6 +282,21 @@ def test_html_odd_pages(page, text):
     assert html_extract.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article class='post category-social'><p>kept</p></article>", "kept"),
+        ("<article class='sponsored' id='comments'><p>kept</p></article>", "kept"),
+        ("<body><h2 id='related-work'>A</h2><h2 id='share-prices'>B</h2><h2 id='cookies'>C</h2><p id='menu'>D</p></body>", "A\nB\nC\nD"),
+        ("<body><div class='ad-hoc'>kept</div><div class='share-prices'>too</div><div class='toc'>list</div></body>", "kept\ntoo\nlist"),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <object>this</object></p><dialog>said</dialog>", "so x=2 and this\nsaid"),
+        ("<div class='ads-wrapper'>no</div><div class='site-footer'>no</div><div id='cookie-notice'>no</div><p>kept", "kept"),
+    ],
+)
+def test_html_names_drop_nothing_else(page, text):
+    assert html_extract.extract(page) == text
+
+
 def test_deep_nesting_is_not_recursive():
     assert html_extract.extract("<div>" * 5000 + "deep") == "deep"
     html_extract.induce(["<div>" * 5000 + f"deep {i}" for i in range(3)])
