@@ -1,11 +1,14 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-Pages of one host are parsed into DOM trees and aligned by simple tree matching: the
-matching of two trees with equal labels is one plus the best in-order matching of
-their children. A host's pages are aligned one after another to a growing template,
-which gets the nodes it lacks. Template nodes whose text is the same on most pages
-are constant; the others are slots. The wrapper of a host is the set of constant texts
-by their place, and the place whose slots hold most of the varying text.
+Pages of one host are parsed into DOM trees. The tree of elements that may hold content, without
+repeated siblings, is the shape of a page, and one page of every shape is aligned by simple tree
+matching: the matching of two trees with equal labels is one plus the best in-order matching of
+their children. A shape is aligned to the layout template it matches best, which gets the nodes
+it lacks; if less than ``ALIKE`` of its nodes match, it begins a template of its own. Over all
+distinct pages of the host it is counted how many have a block of text at a place and how many have the same
+text there. A text that is the same on most pages that have the place is constant; the rest varies. The wrapper
+of a host is the set of constant texts by their place, and for each layout the place whose slots
+hold most of the varying text.
 
 A page's content is its ``article`` (or ``main``) element where it has one, else the
 element at the wrapper's content place, else its body. From it come all blocks, except
@@ -15,18 +18,21 @@ texts outside articles. Character references are decoded, white space inside a b
 space, blocks are trimmed and joined with line feeds in page order; nothing else is
 dropped.
 
-The wrapper is fitted on about ``PER_HOST`` pages of a host, chosen by a hash of their html; pages of more
-than ``FIT_BYTES`` do not take part in the fit. Every page is extracted whole. Null and empty
-html give empty text; a null or unparsable url belongs to the host ''. Equal pages count
-once in the fit. Rows with equal ids are extracted one by one.
+The wrapper is fitted on all pages of a host, whatever their size and depth, and each page counts once
+however often it is repeated. A host of fewer than ``LEAST_PAGES`` distinct pages has no wrapper, nor has a layout with fewer.
+Every page is extracted whole. Null and empty
+html give empty text; a null or unparsable url belongs to the host ''.
+Rows with equal ids are extracted one by one.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import json
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +40,11 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, sliced
 
-PER_HOST = 24
-FIT_BYTES = 256 << 10
 LEAST_PAGES = 3
 CONSTANT = 0.6
 CONTENT = 0.7
+#: Share of matched nodes from which a page is of a template's layout.
+ALIKE = 0.8
 
 # Element names of the HTML standard by how they are parsed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,6 +88,10 @@ QUALIFIERS = frozenset("has with no without not".split())
 OF_ARTICLE = frozenset("article post entry story content".split())
 #: Last words of a name that say where or in what an element is, but not what it is.
 NEUTRAL = frozenset("area bar block box bottom column container content group holder inner item left list outer right section slot top unit widget wrap wrapper".split())
+#: Elements that mark content themselves, and blocks that are content but not its place.
+MARKS = ("article", "main")
+LEAVES = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 hr pre blockquote address summary legend caption figcaption".split())
+OUTERMOST = ("#root", "html", "body")
 NEVER_SKIP = frozenset("html body main".split())
 #: Headings and text blocks, whose ids are made from their text.
 TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th tr table caption blockquote pre figure figcaption".split())
@@ -90,6 +100,7 @@ TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|(/?)([a-zA-Z][
 ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)", re.I)
 TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 SPACE = re.compile(r"\s+")
+DIGITS = re.compile(r"[0-9]+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
@@ -103,7 +114,7 @@ class Node:
             for m in ATTR.finditer(attrs):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if name == "class":
-                    self.label = f"{tag}.{value}"
+                    self.label = f"{tag}.{DIGITS.sub('', value)}" if tag not in NEVER_SKIP else tag
                 if name in ("class", "id"):
                     judged = tag != "article" and not (name == "id" and tag in TEXT_BLOCKS)
                     self.skip |= judged and names_boilerplate(value)
@@ -177,134 +188,86 @@ def squeeze(text: str) -> str:
     return SPACE.sub(" ", text).strip()
 
 
-def own_text(node: Node) -> str:
-    return squeeze(" ".join(c for c in node.children if isinstance(c, str)))
-
-
-def walk(root: Node):
-    """(node, path) of a tree in page order, without recursion."""
-    todo = [(root, "")]
-    while todo:
-        node, path = todo.pop()
-        yield node, path
-        for c in reversed(node.children):
-            if not isinstance(c, str):
-                todo.append((c, f"{path}>{c.label}"))
-
-
 class Slot:
-    """A template node: its label, its aligned children and the texts seen in it."""
+    """A template node: its label and its aligned children."""
 
-    __slots__ = ("label", "children", "pages", "texts", "mass")
+    __slots__ = ("label", "children")
 
     def __init__(self, label: str):
         self.label, self.children = label, []
-        self.pages, self.texts, self.mass = 0, {}, 0
 
     @classmethod
-    def of(cls, node: Node, depth: int = 0) -> Slot:
+    def of(cls, node: Node) -> Slot:
         slot = cls(node.label)
-        slot.see(node)
-        if depth < 60:
-            slot.children = [cls.of(c, depth + 1) for c in node.children if not isinstance(c, str) and c.tag not in RAW]
+        todo = [(slot, node)]
+        while todo:
+            parent, x = todo.pop()
+            for c in elements(x):
+                parent.children.append(cls(c.label))
+                todo.append((parent.children[-1], c))
         return slot
 
-    def see(self, node: Node) -> None:
-        self.pages += 1
-        text = own_text(node)
-        if text:
-            key = digest(text)
-            self.texts[key] = self.texts.get(key, 0) + 1
-            self.mass += len(text)
+
+def number(text: str) -> int:
+    """64 bits of a digest, never one of the small numbers that mark other rows."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) | 1 << 8
 
 
-def digest(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+@functools.lru_cache(1 << 16)
+def step(path: int, label: str) -> int:
+    """The number of the path that goes on from another to a child."""
+    return number(f"{path}>{label}")
+
+
+def constant_key(path: int, text: str) -> int:
+    return number(f"{path} {text}")
 
 
 def elements(node: Node) -> list[Node]:
     return [c for c in node.children if not isinstance(c, str) and c.tag not in RAW]
 
 
-def matching(a, b, memo: dict, depth: int = 0) -> int:
+def matching(a, b, memo: dict) -> int:
     """Simple tree matching of a template slot and a page node, by shape."""
     if a.label != b.label:
         return 0
-    if depth > 60:
-        return 1
     key = memo["of_slot"][id(a)], memo["of_node"][id(b)]
     if key not in memo["pairs"]:
-        memo["pairs"][key] = 1 + best(a.children, elements(b), memo, depth)[-1][-1]
+        memo["pairs"][key] = 1 + best(a.children, elements(b), memo)[-1][-1]
     return memo["pairs"][key]
 
 
-def best(xs: list, ys: list, memo: dict, depth: int) -> list[list[int]]:
+def best(xs: list, ys: list, memo: dict) -> list[list[int]]:
     """Scores of the best in-order matching of the first i slots with the first j nodes."""
     table = [[0] * (len(ys) + 1)]
     for x in xs:
         row, above = [0], table[-1]
         for j, y in enumerate(ys):
-            row.append(max(row[j], above[j + 1], above[j] + matching(x, y, memo, depth + 1)))
+            row.append(max(row[j], above[j + 1], above[j] + matching(x, y, memo)))
         table.append(row)
     return table
 
 
-def align(slot: Slot, node: Node, memo: dict, depth: int = 0) -> None:
-    """Let a page's node be seen by its slot, children by children; add what is missing."""
-    slot.see(node)
-    xs, ys = slot.children, elements(node)
-    if depth > 60:
-        return
-    table = best(xs, ys, memo, depth)
-    i, j, merged = len(xs), len(ys), []
-    while i or j:
-        if i and j and (w := matching(xs[i - 1], ys[j - 1], memo, depth + 1)) and table[i][j] == table[i - 1][j - 1] + w:
-            align(xs[i - 1], ys[j - 1], memo, depth + 1)
-            merged.append(xs[i - 1])
-            i, j = i - 1, j - 1
-        elif j and table[i][j] == table[i][j - 1]:
-            merged.append(Slot.of(ys[j - 1], depth + 1))
-            j -= 1
-        else:
-            merged.append(xs[i - 1])
-            i -= 1
-    slot.children = merged[::-1]
-
-
-def induce(pages: list[str]) -> dict:
-    """The wrapper of a host: constant texts by place, and the place of the content."""
-    roots = [parse(p) for p in pages]
-    template = Slot.of(roots[0])
-    for root in roots[1:]:
-        memo: dict = {"shapes": {}, "pairs": {}, "of_slot": {}, "of_node": {}}
-        _shapes(template, lambda s: s.children, memo["of_slot"], memo["shapes"])
-        _shapes(root, elements, memo["of_node"], memo["shapes"])
-        align(template, root, memo)
-    constant: set[str] = set()
-    varying: dict[str, int] = {}
-    todo = [(template, "", False)]
+def align(slot: Slot, node: Node, memo: dict) -> None:
+    """Let a page's node be aligned with its slot, children by children; add what is missing."""
+    todo = [(slot, node)]
     while todo:
-        slot, path, skipped = todo.pop()
-        if slot.texts:
-            seen = sum(slot.texts.values())
-            common = max(slot.texts, key=slot.texts.get)
-            if len(roots) >= LEAST_PAGES and slot.texts[common] >= max(LEAST_PAGES, CONSTANT * len(roots)):
-                constant.add(f"{path} {common}")
-            elif not skipped and seen:
-                parts = path.split(">")
-                for k in range(1, len(parts) + 1):
-                    place = ">".join(parts[:k])
-                    varying[place] = varying.get(place, 0) + slot.mass
-        for c in slot.children:
-            tag = c.label.split(".")[0]
-            probe = Node(tag, f' class="{c.label[len(tag) + 1 :]}"' if "." in c.label else "")
-            todo.append((c, f"{path}>{c.label}", skipped or probe.skip))
-    total = varying.get("", 0)
-    deep = [p for p, n in varying.items() if n >= CONTENT * total]
-    place = max(deep, key=lambda p: (p.count(">"), varying[p], p), default="")
-    while place and place.rsplit(">", 1)[-1].split(".")[0] in INLINE | {"p", "li", "h1", "h2", "h3"}:
-        place = place.rsplit(">", 1)[0]
-    return {"constant": sorted(constant), "content": place}
+        slot, node = todo.pop()
+        xs, ys = slot.children, elements(node)
+        table = best(xs, ys, memo)
+        i, j, merged = len(xs), len(ys), []
+        while i or j:
+            if i and j and (w := matching(xs[i - 1], ys[j - 1], memo)) and table[i][j] == table[i - 1][j - 1] + w:
+                todo.append((xs[i - 1], ys[j - 1]))
+                merged.append(xs[i - 1])
+                i, j = i - 1, j - 1
+            elif j and table[i][j] == table[i][j - 1]:
+                merged.append(Slot.of(ys[j - 1]))
+                j -= 1
+            else:
+                merged.append(xs[i - 1])
+                i -= 1
+        slot.children = merged[::-1]
 
 
 def _shapes(root, children, out: dict, shapes: dict) -> None:
@@ -319,102 +282,272 @@ def _shapes(root, children, out: dict, shapes: dict) -> None:
         out[id(x)] = shapes.setdefault(key, len(shapes))
 
 
-def contents(root: Node, place: str) -> tuple[list[tuple[Node, str]], bool]:
-    """The elements that hold a page's content, outermost first, and whether it marks them itself."""
-    found: dict[str, list[tuple[Node, str]]] = {"article": [], "main": [], "place": [], "body": []}
-    todo = [(root, "")]
-    while todo:
-        node, path = todo.pop()
-        if node.skip and node.tag != "#root":
-            continue
-        kind = node.tag if node.tag in ("article", "main") else "place" if path == place and place else "body" if node.tag == "body" else None
-        if kind:
-            found[kind].append((node, path))
-        if kind != "article":
-            todo += [(c, f"{path}>{c.label}") for c in reversed(node.children) if not isinstance(c, str)]
-    for kind in ("article", "main", "place", "body"):
-        if found[kind]:
-            return found[kind], kind in ("article", "main")
-    return [(root, "")], False
-
-
-def blocks(node: Node, path: str, constant: frozenset[str], marked: bool) -> list[str]:
-    """The texts of a subtree, cut where block elements begin and end."""
-    out: list[str] = []
-    line: list[str] = []
-
-    def flush():
-        text = squeeze("".join(line))
-        if text:
-            out.append(text)
-        line.clear()
-
-    todo: list = [(node, path, True)]
-    while todo:
-        x, at, opening = todo.pop()
-        if isinstance(x, str):
-            line.append(x)
-            continue
-        inline = x.tag in INLINE
-        if not opening:
-            flush()
-            continue
-        if x is not node and (x.skip or (x.tag == "header" and not marked)):
+class Page:
+    """The lines of a page: texts cut where block elements begin and end.
+
+    ``tag``, ``label``, ``path``, ``up`` and ``home`` describe its block elements, parents first:
+    ``up`` is the parent and ``home`` the innermost element, itself or above, that may hold content.
+    ``lines`` are pairs of a block element and a text.
+    """
+
+    def __init__(self, root: Node):
+        self.tag, self.label, self.path, self.up, self.home = [root.tag], [root.label], [0], [-1], [0]
+        self.lines: list[tuple[int, str]] = []
+        line: list[str] = []
+
+        def flush(at: int, dead: bool):
+            text = squeeze("".join(line))
+            if text and not dead:
+                self.lines.append((at, text))
+            line.clear()
+
+        # dead: inside a header that is not of an article or main
+        todo: list = [(c, 0, False, False, True) for c in reversed(root.children)]
+        while todo:
+            x, at, marked, dead, opening = todo.pop()
+            if isinstance(x, str):
+                line.append(x)
+                continue
+            if not opening:
+                # ``at`` is the element that ends
+                flush(at, dead)
+                continue
+            inline = x.tag in INLINE
+            if x.skip:
+                if not inline:
+                    flush(at, dead)
+                continue
+            if x.tag == "br":
+                line.append(" ")
+                continue
+            inner, kept = at, dead
             if not inline:
-                flush()
-            continue
-        if x.tag == "br":
-            line.append(" ")
-            continue
-        if not inline:
-            flush()
-            todo.append((x, at, False))
-        drop = False
-        if constant and not marked:
-            text = own_text(x)
-            drop = bool(text) and f"{at} {digest(text)}" in constant
-        for c in reversed(x.children):
-            if isinstance(c, str):
-                if not drop:
-                    todo.append((c, at, True))
-            else:
-                todo.append((c, f"{at}>{c.label}", True))
-    flush()
+                flush(at, dead)
+                marked = marked or x.tag in MARKS
+                kept = not marked and (dead or x.tag == "header")
+                inner = len(self.tag)
+                self.tag.append(x.tag)
+                self.label.append(x.label)
+                self.path.append(step(self.path[at], x.label))
+                self.up.append(at)
+                self.home.append(inner if self.home[at] == at and x.tag not in LEAVES else self.home[at])
+                todo.append((x, inner, marked, kept, False))
+            todo += [(c, inner, marked, kept, True) for c in reversed(x.children)]
+        flush(0, False)
+
+    def skeleton(self) -> str:
+        """The elements that may hold content, those of one path once, as JSON: parent and label."""
+        seen: dict[int, int] = {}
+        out = []
+        for i, (path, label) in enumerate(zip(self.path, self.label)):
+            if self.home[i] == i and path not in seen:
+                seen[path] = len(out)
+                out.append([seen[self.path[self.up[i]]] if i else -1, label])
+        return json.dumps(out, separators=(",", ":"))
+
+    def facts(self) -> list[tuple[int, int, int, int]]:
+        """(path, key, home, chars): of each line and, with key 0, of each element with lines."""
+        chars: dict[tuple[int, int], list[int]] = {}
+        for at, text in self.lines:
+            path = self.path[at]
+            for key in (0, constant_key(path, text)):
+                chars.setdefault((path, key), [self.path[self.home[at]], 0])[1] += len(text)
+        return [(path, key, home, n) for (path, key), (home, n) in chars.items()]
+
+    def below(self, roots: list[int], kept: list[bool]) -> list[str]:
+        """The texts of the kept lines inside some of the elements."""
+        inside = [False] * len(self.tag)
+        for i in roots:
+            inside[i] = True
+        for i, up in enumerate(self.up):
+            inside[i] = inside[i] or (up >= 0 and inside[up])
+        return [text for (at, text), k in zip(self.lines, kept) if k and inside[at]]
+
+
+def tree(skeleton: str) -> Node:
+    nodes: list[Node] = []
+    for up, label in json.loads(skeleton):
+        node = Node(label.split(".")[0])
+        node.label = label
+        nodes.append(node)
+        if up >= 0:
+            nodes[up].children.append(node)
+    return nodes[0]
+
+
+def size_of(root) -> tuple[int, int]:
+    """The nodes of a tree, and how many of them every page has."""
+    n, outer, todo = 0, 0, [root]
+    while todo:
+        x = todo.pop()
+        n += 1
+        outer += x.label in OUTERMOST
+        todo += x.children
+    return n, outer
+
+
+def templates(shapes: list[tuple[str, int]]) -> list[list]:
+    """[template, pages] of each layout: skeletons aligned to the template they match best."""
+    out: list[list] = []
+    for skeleton, pages in sorted(shapes, key=lambda s: (-s[1], s[0])):
+        node = tree(skeleton)
+        size, outer = size_of(node)
+        # a chain of one element in another is matched in one call below another
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * size + 1000))
+        found, near = None, ALIKE
+        for layout in out:
+            memo: dict = {"shapes": {}, "pairs": {}, "of_slot": {}, "of_node": {}}
+            _shapes(layout[0], lambda s: s.children, memo["of_slot"], memo["shapes"])
+            _shapes(node, elements, memo["of_node"], memo["shapes"])
+            # against the smaller of the two, as a template holds what only some pages have
+            whole, common = size_of(layout[0])
+            least = min(size - outer, whole - common)
+            alike = (matching(layout[0], node, memo) - min(outer, common)) / least if least else float(size - outer == whole - common)
+            if alike > near:
+                found, near, used = layout, alike, memo
+        if found:
+            align(found[0], node, used)
+            found[1] += pages
+        else:
+            out.append([Slot.of(node), pages])
     return out
 
 
-def extract(page: str | None, constant: frozenset[str] = frozenset(), place: str = "") -> str:
-    if not page:
-        return ""
-    root = parse(page)
-    found, marked = contents(root, place)
-    out: list[str] = []
-    for node, path in found:
-        out += blocks(node, path, constant, marked)
-    return "\n".join(out)
+def place_of(template: Slot, pages: int, homes: dict[int, tuple[int, int]]) -> int | None:
+    """The place of a layout whose slots hold most of the varying text.
+
+    ``homes``: the varying characters of each path and the pages that have it. The places
+    that hold ``CONTENT`` of the text lie in each other; an article among them goes first,
+    then a main, then the innermost.
+    """
+    up: dict[int, int] = {}
+    kind: dict[int, str] = {}
+    depth: dict[int, int] = {}
+    todo = [(template, 0, -1, 0)]
+    while todo:
+        slot, path, above, d = todo.pop()
+        if path not in depth:
+            up[path], kind[path], depth[path] = above, slot.label.split(".")[0], d
+        todo += [(c, step(path, c.label), path, d + 1) for c in slot.children]
+    weight: dict[int, float] = dict.fromkeys(depth, 0.0)
+    order = sorted(depth, key=lambda p: (-depth[p], p))
+    for path in order:
+        chars, holders = homes.get(path, (0, 0))
+        weight[path] += chars / max(holders, pages)
+        if path:
+            weight[up[path]] += weight[path]
+    if not weight[0]:
+        return None
+    deep = [p for p in order if weight[p] >= CONTENT * weight[0] * (1 - 1e-9)]
+    place = min(deep, key=lambda p: (MARKS.index(kind[p]) if kind[p] in MARKS else len(MARKS), -depth[p]))
+    return None if kind[place] in OUTERMOST else place
+
+
+def wrapper_of(shapes: list[tuple[str, int]], facts: list[tuple[int, int, int, int, int]]) -> dict:
+    """The wrapper from the shapes and from (path, key, home, chars, pages) of a host's pages."""
+    holders = {path: n for path, key, _, _, n in facts if not key}
+    constant = set()
+    homes: dict[int, tuple[int, int]] = {}
+    for path, key, home, chars, n in facts:
+        fixed = key and n >= max(LEAST_PAGES, CONSTANT * holders[path])
+        if fixed:
+            constant.add(key)
+        if fixed or not key:
+            sum_, most = homes.get(home, (0, 0))
+            homes[home] = (sum_ - chars, most) if key else (sum_ + chars, max(most, n))
+    places = [place_of(t, n, homes) for t, n in templates(shapes) if n >= LEAST_PAGES]
+    return {"constant": sorted(constant), "content": sorted({p for p in places if p is not None})}
+
+
+def induce(pages: list[str]) -> dict:
+    """The wrapper of a host: keys of constant texts by place, and the places of the content."""
+    shapes: dict[str, int] = {}
+    facts: dict[tuple[int, int], list[int]] = {}
+    for text in pages:
+        page = Page(parse(text))
+        shapes[page.skeleton()] = shapes.get(page.skeleton(), 0) + 1
+        for path, key, home, chars in page.facts():
+            fact = facts.setdefault((path, key), [home, 0, 0])
+            fact[1] += chars
+            fact[2] += 1
+    return wrapper_of(list(shapes.items()), [(*k, *v) for k, v in facts.items()])
 
 
+def extract(page: str | None, constant: frozenset[int] = frozenset(), places: frozenset[int] = frozenset()) -> str:
+    return choose(page, constant, places)[0]
+
+
+def choose(page: str | None, constant: frozenset[int], places: frozenset[int]) -> tuple[str, str]:
+    """The text of a page and what decided where it is: wrapper, article, main or body."""
+    if not page:
+        return "", ""
+    found = Page(parse(page))
+    varying = [not constant or constant_key(found.path[at], text) not in constant for at, text in found.lines]
+    # an article or main goes before the wrapper's place, and keeps what is constant
+    for kind in ("article", "main", "wrapper", "body"):
+        roots = [i for i, p in enumerate(found.path) if (p in places if kind == "wrapper" else found.tag[i] == kind)]
+        if roots:
+            return "\n".join(found.below(roots, [v or kind in MARKS for v in varying])), kind
+    return "\n".join(found.below([0], varying)), "body"
+
 def with_host(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     return pages.withColumn("_host", host)
 
 
-def fit_wrappers(pages: DataFrame, scratch: Scratch, per_host: int = PER_HOST, seed: int = 42) -> DataFrame:
-    """(_host, wrapper): the wrapper of every host as JSON, from a bounded sample of its pages."""
-    hosted = with_host(pages.select("url", "html")).where(f"html is not null and octet_length(html) <= {FIT_BYTES}")
-    hashed = hosted.select("_host", "html", F.xxhash64("html", F.lit(seed)).alias("_h"))
-    sizes = scratch.put(hashed.groupBy("_host").agg(F.count(F.lit(1)).alias("_n")))
-    spot = F.pmod(F.col("_h"), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = hashed.join(sizes, "_host").where(spot * F.col("_n") < per_host).select("_host", "html")
+FACT = "_host string, path bigint, key bigint, page bigint, home bigint, chars bigint, skeleton string"
+
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """Facts of every page: (path, key, home, chars) of its lines; a row of key 1 for its shape.
+
+    The skeleton of a shape goes with the first page that has it in a task.
+    """
+
+    def run(batches):
+        seen: set[tuple[str, int]] = set()
+        for batch in sliced(batches, "html"):
+            rows: list[tuple] = []
+            for host, text, page in zip(*(batch.column(c).to_pylist() for c in ("_host", "html", "page"))):
+                found = Page(parse(text))
+                skeleton = found.skeleton()
+                shape = number(skeleton)
+                rows.append((host, shape, 1, page, 0, 0, None if (host, shape) in seen else skeleton))
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen.add((host, shape))
+                rows += [(host, path, key, page, home, chars, None) for path, key, home, chars in found.facts()]
+            kinds = [pa.string(), *[pa.int64()] * 5, pa.string()]
+            names = [f.split()[0] for f in FACT.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+
+    hosted = with_host(pages.select("url", "html")).where("html is not null and html <> ''")
+    return hosted.select("_host", "html", F.xxhash64("html").alias("page")).mapInArrow(run, FACT)
+
+
+def fit_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_host, wrapper): the wrapper of every host as JSON, from all its distinct pages."""
+    facts = scratch.put(page_facts(pages))
+    # a heavily copied page is one page: equal html counts once
+    once = facts.groupBy("_host", "path", "key", "page").agg(F.max("home").alias("home"), F.max("chars").alias("chars"))
+    counted = once.groupBy("_host", "path", "key").agg(F.max("home").alias("home"), F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
+    counted = scratch.put(counted.where(f"key in (0, 1) or n >= {LEAST_PAGES}"))
+    holders = counted.where("key = 0").select("_host", "path", F.col("n").alias("of"))
+    constant = counted.where("key not in (0, 1)").join(holders, ["_host", "path"]).where(F.col("n") >= F.lit(CONSTANT) * F.col("of")).drop("of")
+    skeletons = facts.where("skeleton is not null").groupBy("_host", "path").agg(F.min("skeleton").alias("skeleton"))
+    shapes = counted.where("key = 1").join(skeletons, ["_host", "path"])
+    known = shapes.unionByName(counted.where("key = 0").unionByName(constant), allowMissingColumns=True)
 
     def run(pdf):
         import pandas as pd
 
-        # a heavily copied page is one page: equal html counts once
-        chosen = sorted(set(pdf["html"]), key=digest)[: 2 * per_host]
-        return pd.DataFrame({"_host": [pdf["_host"].iloc[0]], "wrapper": [json.dumps(induce(chosen))]})
+        of_shape = pdf["key"] == 1
+        shapes = list(zip(pdf["skeleton"][of_shape], pdf["n"][of_shape].tolist()))
+        rows = pdf[~of_shape]
+        wrapper = wrapper_of(shapes, list(zip(*(rows[c].tolist() for c in ("path", "key", "home", "chars", "n")))))
+        return pd.DataFrame({"_host": [pdf["_host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
 
-    return sample.dropDuplicates(["_host", "html"]).groupBy("_host").applyInPandas(run, "_host string, wrapper string")
+    return known.groupBy("_host").applyInPandas(run, "_host string, wrapper string")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -424,7 +557,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosted = with_host(pages.select("page_id", "url", "html")).join(wrappers, "_host", "left")
 
     def run(batches):
-        known: dict[str | None, tuple[frozenset[str], str]] = {None: (frozenset(), "")}
+        known: dict[str | None, tuple[frozenset[int], frozenset[int]]] = {None: (frozenset(), frozenset())}
         for batch in sliced(batches, "html"):
             texts = []
             for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
@@ -432,7 +565,7 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if len(known) > 1000:
                         known = {None: known[None]}
                     w = json.loads(wrapper)
-                    known[wrapper] = frozenset(w["constant"]), w["content"]
+                    known[wrapper] = frozenset(w["constant"]), frozenset(w["content"])
                 texts.append(extract(page, *known[wrapper]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

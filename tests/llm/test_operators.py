@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -313,6 +314,42 @@ def test_wrapper_separates_constant_from_varying():
     assert text == "\n".join(re.findall(r"<p>(.*?)</p>", fresh))
 
 
+def wrapped(wrapper, page):
+    return html_extract.extract(page, frozenset(wrapper["constant"]), frozenset(wrapper["content"]))
+
+
+def layouts():
+    """A host of large pages, of others that are 80 levels deep and of a rare layout, and what they say."""
+    rng = random.Random(16)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(n))
+    out = []
+    for i in range(23):
+        text = prose(50_000 if i < 10 else 60)
+        if i < 10:
+            page = f"<body><div class='top'><div>Large menu</div></div><div class='post'><p>{text}</p></div><div class='top'><div>Large end</div></div></body>"
+        elif i < 20:
+            page = f"<body><table>{'<section>' * 80}<div>Deep menu</div><div><p>{text}</p></div>{'</section>' * 80}</table></body>"
+        else:
+            page = f"<body><section><div>Rare menu</div></section><section class='story'><p>{text}</p></section></body>"
+        out.append((page, text))
+    return out
+
+
+def test_wrapper_learns_every_layout_size_and_depth():
+    pages = layouts()
+    wrapper = html_extract.induce([p for p, _ in pages])
+    assert [wrapped(wrapper, p) == t for p, t in pages] == [True] * len(pages)
+
+
+def test_wrapper_counts_copies_once_over_all_pages(spark):
+    pages = [p for p, _ in layouts()[10:]]
+    rows = [("http://h/a", p) for p in pages for _ in range(200)] + [("http://h/b", None), ("http://h/c", ""), ("http://i/", pages[0])]
+    table = spark.createDataFrame(rows, "url string, html string")
+    got = {r._host: json.loads(r.wrapper) for r in html_extract.fit_wrappers(table, Scratch(spark, "html")).collect()}
+    assert got == {"h": html_extract.induce(pages), "i": {"constant": [], "content": []}}
+    assert len(got["h"]["constant"]) == 2 and len(got["h"]["content"]) == 2
+
+
 def test_simple_tree_matching_equals_plain_recursion():
     rng = random.Random(7)
 
