@@ -10,11 +10,13 @@ text there. A text that is the same on most pages that have the place is constan
 of a host is the set of constant texts by their place, and for each layout the place whose slots
 hold most of the varying text.
 
-A page's content is its ``article`` (or ``main``) element where it has one, else the
-element at the wrapper's content place, else its body. From it come all blocks, except
+A page's content is the element at a content place of its host's wrapper; an ``article`` (or ``main``)
+is taken first only among the places of a layout that all hold most of its varying text. A page without
+such a place, as its host has too few pages or its text lies in no one element, falls back to its
+own ``article``, else ``main``, else body. From the content come all blocks, except
 subtrees whose element, role or class says that they are menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles or reader comments, and except constant
-texts outside articles. Character references are decoded, white space inside a block becomes one
+texts, inside articles too. A page whose texts are all constant keeps them. Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined with line feeds in page order; nothing else is
 dropped.
 
@@ -354,6 +356,13 @@ class Page:
                 chars.setdefault((path, key), [self.path[self.home[at]], 0])[1] += len(text)
         return [(path, key, home, n) for (path, key), (home, n) in chars.items()]
 
+    def within(self, path: int, other: int) -> bool:
+        """Whether elements of a path lie in those of another."""
+        i = self.up[self.path.index(path)]
+        while i >= 0 and self.path[i] != other:
+            i = self.up[i]
+        return i >= 0
+
     def below(self, roots: list[int], kept: list[bool]) -> list[str]:
         """The texts of the kept lines inside some of the elements."""
         inside = [False] * len(self.tag)
@@ -483,13 +492,32 @@ def choose(page: str | None, constant: frozenset[int], places: frozenset[int]) -
         return "", ""
     found = Page(parse(page))
     varying = [not constant or constant_key(found.path[at], text) not in constant for at, text in found.lines]
-    # an article or main goes before the wrapper's place, and keeps what is constant
-    for kind in ("article", "main", "wrapper", "body"):
-        roots = [i for i, p in enumerate(found.path) if (p in places if kind == "wrapper" else found.tag[i] == kind)]
+    if not any(varying):
+        # all its text is constant, as on copies of one text: nothing tells it from a menu
+        varying = [True] * len(varying)
+    size = [0] * len(found.tag)
+    for (at, text), kept in zip(found.lines, varying):
+        size[at] += kept * len(text)
+    for i in range(len(size) - 1, 0, -1):
+        size[found.up[i]] += size[i]
+    held: dict[int, int] = {}
+    for i, path in enumerate(found.path):
+        if path in places:
+            held[path] = held.get(path, 0) + size[i]
+    place = max(held, key=lambda p: (held[p], -found.path.index(p)), default=0)
+    if held.get(place):
+        # of places in it the innermost that still holds most of its text
+        for path in found.path:
+            if held.get(path, 0) >= CONTENT * held[place] and found.within(path, place):
+                place = path
+        return "\n".join(found.below([i for i, p in enumerate(found.path) if p == place], varying)), "wrapper"
+    for kind in (*MARKS, "body"):
+        roots = [i for i, tag in enumerate(found.tag) if tag == kind and (size[i] or kind == "body")]
         if roots:
-            return "\n".join(found.below(roots, [v or kind in MARKS for v in varying])), kind
+            return "\n".join(found.below(roots, varying)), kind
     return "\n".join(found.below([0], varying)), "body"
 
+
 def with_host(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     return pages.withColumn("_host", host)

@@ -341,6 +341,23 @@ def test_wrapper_learns_every_layout_size_and_depth():
     assert [wrapped(wrapper, p) == t for p, t in pages] == [True] * len(pages)
 
 
+def test_wrapper_decides_where_pages_have_articles():
+    rng = random.Random(17)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(n))
+    texts = [(prose(3), prose(60), prose(60)) for _ in range(8)]
+    inside = [f"<body><article><h1>{h}</h1><p>Read it in our app</p><p>{a} <b>The</b></p><p>{b}</p></article></body>" for h, a, b in texts]
+    wrapper = html_extract.induce(inside)
+    for page, (h, a, b) in zip(inside, texts):
+        assert wrapped(wrapper, page) == f"{h}\n{a} The\n{b}"
+    # the teasers are articles, the text is not in one
+    beside = [f"<body><div class='post'><p>{a}</p><p>{b}</p></div><article>{h}</article></body>" for h, a, b in texts]
+    wrapper = html_extract.induce(beside)
+    for page, (_, a, b) in zip(beside, texts):
+        assert wrapped(wrapper, page) == f"{a}\n{b}"
+    copies = ["<body><article><p>same</p></article></body>" + "<!-- -->" * i for i in range(5)]
+    assert wrapped(html_extract.induce(copies), copies[0]) == "same"
+
+
 def test_wrapper_counts_copies_once_over_all_pages(spark):
     pages = [p for p, _ in layouts()[10:]]
     rows = [("http://h/a", p) for p in pages for _ in range(200)] + [("http://h/b", None), ("http://h/c", ""), ("http://i/", pages[0])]
