@@ -11,26 +11,29 @@ than ``CHUNK`` bytes are scored in chunks, so whole texts count. A text that is
 null or has no letter is ``und`` with score 0. Ties go to the first language in
 code point order. With no language to learn from everything is ``und``.
 
-The fit reads about ``per_language`` training documents of each of the at most
-``MAX_LANGUAGES`` most frequent languages, and of them the ``FIT_WORDS`` most frequent
-word forms; scoring reads every whole text.
+Every language of the training fold is learned, each by itself from about ``per_language`` of
+its documents, and of them the ``FIT_WORDS`` most frequent word forms. Scoring reads every whole text;
+it knows ``SLICE`` languages at a time, and with more of them the texts are read once for each slice.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, held_out, in_one_task, with_columns
+from .common import Scratch, WordCache, held_out, with_columns
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
+#: Languages that one pass over the texts scores, so that what a task holds is bounded.
+SLICE = 64
 MAX_PIECE = 8
 CHUNK = 32
 ROUNDS = 3
@@ -39,7 +42,7 @@ SMOOTH = 0.1
 LIFT = 32.0
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Most frequent word forms of the sample that the fit reads.
+#: Most frequent word forms of a language's sample that the fit reads.
 FIT_WORDS = 60_000
 
 STEP = np.uint64(0x100000001B3)
@@ -191,38 +194,39 @@ def fit_local(counts: dict[str, np.ndarray], seg: Segmenter, n_languages: int) -
 
 
 def fit_languages(
-    docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = PER_LANGUAGE, seed: int = 7
-) -> LanguageModel | None:
-    """Fit from text and language of the training fold; held-out rows are never read."""
+    docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = PER_LANGUAGE, seed: int = 7, most: int = SLICE
+) -> Iterator[LanguageModel]:
+    """Models of at most ``most`` languages each, in code point order, that cover the languages of the training fold.
+
+    Each language is fitted in a task of its own; held-out rows are never read.
+    """
     train = docs.where("text is not null and lang is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
-    seen = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not seen:
-        return None
-    languages = sorted(r["lang"] for r in seen)
-    share = F.create_map(*[F.lit(x) for r in seen for x in (r["lang"], min(1.0, per_language / r["count"]))])
     position = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(seed)), F.lit(1 << 20)) / F.lit(1 << 20)
-    sample = train.where(F.col("lang").isin(languages)).where(position < F.element_at(share, F.col("lang"))).select("lang", "text")
+    placed = train.select("lang", "text", position.alias("_at"))
+    # a language whose few ids all lie high is read from its lowest on
+    seen = placed.groupBy("lang").agg(F.greatest(F.lit(per_language) / F.count(F.lit(1)), F.min("_at") + F.lit(1e-9)).alias("_share"))
+    # a row for each language; joined before any shuffle, so that only the sample is grouped
+    sample = placed.join(F.broadcast(seen), "lang").where("_at < _share").select("lang", "text")
     pieces = read_vocabulary(vocabulary)
 
     def run(pdf):
         import pandas as pd
 
-        from collections import Counter
+        words = Counter()
+        for text in pdf["text"]:
+            words.update(WORD.findall(text.lower()))
+        p = fit_local({w: np.array([n], float) for w, n in words.items()}, Segmenter(pieces), 1)
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "p": [p[:, 0].astype(np.float64).tobytes()]})
 
-        by = {lang: Counter() for lang in languages}
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            by[lang].update(WORD.findall(text.lower()))
-        words = {w for c in by.values() for w in c}
-        counts = {w: np.array([by[lang][w] for lang in languages], float) for w in words}
-        p = fit_local(counts, Segmenter(pieces), len(languages))
-        return pd.DataFrame({"p": [p.astype(np.float64).tobytes()]})
-
-    row = in_one_task(sample, run, "p binary").first()
-    if row is None:
-        return None
-    p = np.frombuffer(row.p).reshape(-1, len(languages))
-    with np.errstate(divide="ignore"):
-        return LanguageModel(languages, pieces, np.log(p))
+    scratch = Scratch(docs.sparkSession, "langid")
+    fitted = scratch.put(sample.groupBy("lang").applyInPandas(run, "lang string, p binary"))
+    languages = sorted(r.lang for r in fitted.select("lang").collect())
+    for k in range(0, len(languages), most):
+        some = languages[k : k + most]
+        columns = {r.lang: np.frombuffer(r.p) for r in fitted.where(F.col("lang").between(some[0], some[-1])).collect()}
+        with np.errstate(divide="ignore"):
+            yield LanguageModel(some, pieces, np.log(np.stack([columns[x] for x in some], axis=1)))
+    scratch.drop(fitted)
 
 
 def word_scores(seg: Segmenter, logp: np.ndarray):
@@ -246,34 +250,59 @@ def word_scores(seg: Segmenter, logp: np.ndarray):
     return compute
 
 
-def identify(docs: DataFrame, model: LanguageModel | None = None, text: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row of ``docs``."""
-    model = model or fit_languages(docs)
+def scored(docs: DataFrame, model: LanguageModel, text: str) -> DataFrame:
+    """Adds the best language ``_lang`` of the model, its log probability ``_top``, and ``_sum``, that of all as multiples of the best."""
 
     def make():
-        cache = None if model is None else WordCache(word_scores(Segmenter(model.pieces), model.logp))
+        cache = WordCache(word_scores(Segmenter(model.pieces), model.logp))
 
         def work(batch):
-            texts = batch.column(text).to_pylist()
-            words = [WORD.findall(t.lower()) if t else [] for t in texts]
-            if model is None:
-                return {"lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts)}
+            words = [WORD.findall(t.lower()) if t else [] for t in batch.column(text).to_pylist()]
             size = np.fromiter(map(len, words), np.int64, len(words))
             values = cache.values([w for some in words for w in some])
             total = np.concatenate((np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)))
             end = np.cumsum(size)
             logs = total[end] - total[end - size]
-            logs -= logs.max(axis=1, keepdims=True)
-            share = np.exp(logs)
-            share /= share.sum(axis=1, keepdims=True)
-            best = share.argmax(axis=1)
+            best = logs.argmax(axis=1)
+            top = logs.max(axis=1)
             return {
-                "lang_pred": [model.languages[b] if n else "und" for b, n in zip(best, size)],
-                "score": np.where(size > 0, share[np.arange(len(best)), best], 0.0),
+                "_lang": [model.languages[b] if n else None for b, n in zip(best, size)],
+                "_top": top,
+                "_sum": np.exp(logs - top[:, None]).sum(axis=1),
             }
 
         return work
 
-    return with_columns(docs.select("doc_id", "text"), "lang_pred string, score double", make, text).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    return with_columns(docs, "_lang string, _top double, _sum double", make, text)
+
+
+def identify(docs: DataFrame, models: Iterator[LanguageModel] | None = None, text: str = "text") -> DataFrame:
+    """doc_id, held_out, lang_pred and score of every row of ``docs``."""
+    scratch = Scratch(docs.sparkSession, "langid")
+    names = ["_lang", "_top", "_sum"]
+    out, put = None, None
+    for model in fit_languages(docs) if models is None else models:
+        if out is None:
+            out = scored(docs.select("doc_id", text), model, text)
+            continue
+        # the texts go along, as ids need not tell rows apart
+        before = scratch.put(out)
+        if put is not None:
+            scratch.drop(put)
+        put = before
+        old = before.select("doc_id", text, *(F.col(c).alias(f"{c}_0") for c in names))
+        better = F.col("_top") > F.col("_top_0")
+        far = F.exp(-F.abs(F.col("_top") - F.col("_top_0")))
+        out = scored(old, model, text).select(
+            "doc_id",
+            text,
+            F.when(better, F.col("_lang")).otherwise(F.col("_lang_0")).alias("_lang"),
+            F.greatest("_top", "_top_0").alias("_top"),
+            F.when(better, F.col("_sum") + F.col("_sum_0") * far).otherwise(F.col("_sum_0") + F.col("_sum") * far).alias("_sum"),
+        )
+    if out is None:
+        out = docs.select("doc_id", *(F.lit(None).cast(t).alias(c) for c, t in zip(names, ("string", "double", "double"))))
+    score = F.when(F.col("_lang").isNull(), F.lit(0.0)).otherwise(1 / F.col("_sum"))
+    return out.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce("_lang", F.lit("und")).alias("lang_pred"), score.alias("score")
     )

@@ -558,6 +558,19 @@ def test_language_of_hard_rows(spark):
     assert langid.identify(docs.limit(0)).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(18)
+    words = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for k in range(70)}
+    rows = [(i, " ".join(rng.choices(words[f"l{i % 70:03}"], k=12)), f"l{i % 70:03}", "s") for i in range(70 * 6)]
+    docs = documents(spark, rows)
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert [i for i, _, lang, _ in rows if got[i].lang_pred != lang] == []
+    assert all(0.5 < r.score <= 1 for r in got.values())
+    # one pass over all languages and passes over a few say the same
+    again = {r.doc_id: r for r in langid.identify(docs, langid.fit_languages(docs, most=100)).collect()}
+    assert all(again[i].lang_pred == r.lang_pred and abs(again[i].score - r.score) < 1e-9 for i, r in got.items())
+
+
 # 7 sharding
 
 
