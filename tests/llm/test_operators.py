@@ -786,3 +786,10 @@ def test_blocks_settle_what_leaders_miss(spark):
     got = minhash_dedup.near_duplicates(documents(spark, rows)).collect()
     assert {r.doc_id: r.component_id for r in got} == want
     assert 1 < len(set(want.values())) < 200
+
+
+def test_iban_before_upper_case_words():
+    iban = "DE89 3704 0044 0532 0130 00"
+    for after in ("", " BIC COBADEFFXXX", " 12 EUR", " AND GB82 WEST 1234 5698 7654 32", "."):
+        assert [iban] == [f"{iban}{after}"[a:b] for a, b in pii.ibans(iban + after)][:1]
+    assert len(list(pii.ibans(f"{iban} AND GB82 WEST 1234 5698 7654 32"))) == 2
