@@ -49,10 +49,10 @@ with recursive words as (
   from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id
   join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
   group by a.doc_id, b.doc_id having 100 * count(*) >= 75 * (min(x.n) + min(y.n) - count(*))
-), both as (
+), ends as (
   select a, b from links union all select b, a from links
 ), reach as (
-  select a as doc_id, a as other from both union select reach.doc_id, both.b from reach join both on reach.other = both.a
+  select a as doc_id, a as other from ends union select reach.doc_id, ends.b from reach join ends on reach.other = ends.a
 ), least_of as (
   select doc_id, min(other) as component_id from reach group by doc_id
 )
@@ -64,11 +64,11 @@ from words w left join sizes using (doc_id) left join least_of using (doc_id)
 #: Vectors of one label with a cosine of at least 0.93, and the least id that is reachable.
 OP4 = r"""
 with recursive vectors as (
-  select vec_id, label, list_transform(embedding, x -> cast(x as double)) as v from embeddings
+  select vec_id, label, [cast(x as double) for x in embedding] as v from embeddings
 ), usable as (
   select * from vectors
-  where label is not null and v is not null and len(list_filter(v, x -> x is null or not isfinite(x))) = 0
-    and list_sum(list_transform(v, x -> x * x)) > 0
+  where label is not null and v is not null and len([x for x in v if x is null or not isfinite(x)]) = 0
+    and list_sum([x * x for x in v]) > 0
 ), links as (
   select a.vec_id as a, b.vec_id as b from usable a join usable b
     on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
@@ -85,4 +85,90 @@ select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) a
 from vectors left join counts using (vec_id) left join least_of using (vec_id)
 """
 
-SQL = {"op4_embedding": OP4, "op5_decontamination": OP5, "op8_minhash": OP8}
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Plain k-means in integers: every part meets every entry, one step after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+chosen{r} as materialized (
+  select vec_id, part, entry, d from (
+    select x.vec_id, x.part, c.entry, sum((x.v - c.v) * (x.v - c.v)) as d,
+      row_number() over (partition by x.vec_id, x.part order by sum((x.v - c.v) * (x.v - c.v)), c.entry) as place
+    from points x join book{r} c on x.part = c.part and x.pos = c.pos group by x.vec_id, x.part, c.entry
+  ) where place = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+mean{r} as (
+  select x.part, h.entry, x.pos, sum(x.v) as s, count(*) as n
+  from points x join chosen{r} h on x.vec_id = h.vec_id and x.part = h.part group by x.part, h.entry, x.pos
+), book{r + 1} as materialized (
+  select c.part, c.entry, c.pos, coalesce((s - ((s % n) + n) % n) // n, c.v) as v
+  from book{r} c left join mean{r} m on c.part = m.part and c.entry = m.entry and c.pos = m.pos
+)""")
+    return f"""
+with kept as (
+  select vec_id, label, embedding from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), points as materialized (
+  select vec_id, (i - 1) // (len(embedding) // {parts}) as part, (i - 1) % (len(embedding) // {parts}) as pos,
+    cast(floor({scale} * cast(embedding[i] as double)) as hugeint) as v
+  from (select vec_id, embedding, unnest(range(1, len(embedding) + 1)) as i from kept)
+), book0 as materialized (
+  select part, entry, pos, v from points join (
+    select vec_id, row_number() over (order by vec_id) - 1 as entry from kept order by vec_id limit {entries}
+  ) using (vec_id)
+), {",".join(steps)}, coded as (
+  select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(d) as bigint) as error
+  from chosen{rounds} group by vec_id
+), sums as (
+  select label, cast(sum(error) as bigint) as label_error from coded join kept using (vec_id) group by label
+)
+select vec_id, code, error, label_error,
+  (select sha256(string_agg(cast(v as varchar), ',' order by part, entry, pos)) from book{rounds}) as codebooks_sha256
+from coded join kept using (vec_id) join sums on kept.label is not distinct from sums.label
+"""
+
+
+OP13 = _codes_sql()
+
+#: Every phrase of one to four words counted, every cut scored, every longer candidate looked at.
+OP11 = r"""
+with pieces as (
+  select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+    from documents)
+), grams as materialized (
+  select lang, size, phrase, cast(count(*) as bigint) as a from (
+    select lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') as phrase
+    from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from pieces, (values (1), (2), (3), (4)) as sizes(size) where len(w) >= size)
+  ) group by lang, size, phrase
+), totals as (
+  select lang, cast(sum(a) as bigint) as n from grams where size = 1 group by lang
+), candidates as materialized (
+  select lang, size, phrase, a, string_split(phrase, ' ') as w from grams where size > 1 and a >= 30
+), cuts as (
+  select c.lang, c.size, c.phrase, c.a, c.k, f.a as l, s.a as r,
+    cast((cast(2000000 as hugeint) * c.a) // (f.a + s.a) as bigint) as score
+  from (select *, unnest(range(1, size)) as k from candidates) c
+  join grams f on f.lang = c.lang and f.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
+  join grams s on s.lang = c.lang and s.phrase = array_to_string(list_slice(c.w, c.k + 1, c.size), ' ')
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_phrases as (
+  select lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') as phrase from (
+    select lang, w, a, m, unnest(range(1, size - m + 2)) as i
+    from (select lang, w, a, size, unnest(range(2, size)) as m from candidates))
+), covered as (
+  select lang, phrase, max(a) as most from inner_phrases group by lang, phrase
+), ranked as (
+  select x.lang, row_number() over (partition by x.lang order by score desc, x.a desc, x.phrase) as rank, x.phrase, x.a, l, r, score
+  from lowest x left join covered c on x.lang = c.lang and x.phrase = c.phrase
+  where most is null or cast(100 as hugeint) * most < cast(80 as hugeint) * x.a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+SQL = {"op4_embedding": OP4, "op5_decontamination": OP5, "op8_minhash": OP8, "op11_collocations": OP11, "op13_vector_codes": OP13}

@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embed_dedup, html_extract, langid, minhash_dedup, mixing, pii, quality, sharding, toxicity
+from . import (
+    collocations,
+    decontaminate,
+    embed_dedup,
+    html_extract,
+    langid,
+    minhash_dedup,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    toxicity,
+    vector_codes,
+)
 from .common import table
 from .oracle import SQL as SQL  # noqa: PLC0414
 
@@ -54,6 +67,14 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.digest(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -67,5 +88,7 @@ QUERIES: dict[str, Query] = {
         op8_minhash,
         op9_pii,
         op10_quality,
+        op11_collocations,
+        op13_vector_codes,
     )
 }
