@@ -149,12 +149,14 @@ with pieces as (
   select lang, cast(sum(a) as bigint) as n from grams where size = 1 group by lang
 ), candidates as materialized (
   select lang, size, phrase, a, string_split(phrase, ' ') as w from grams where size > 1 and a >= 30
+), keyed as materialized (
+  select lang || chr(10) || phrase as key, a from grams where size < 4 and a >= 30
 ), cuts as (
   select c.lang, c.size, c.phrase, c.a, c.k, f.a as l, s.a as r,
     cast((cast(2000000 as hugeint) * c.a) // (f.a + s.a) as bigint) as score
   from (select *, unnest(range(1, size)) as k from candidates) c
-  join grams f on f.lang = c.lang and f.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
-  join grams s on s.lang = c.lang and s.phrase = array_to_string(list_slice(c.w, c.k + 1, c.size), ' ')
+  join keyed f on f.key = c.lang || chr(10) || array_to_string(list_slice(c.w, 1, c.k), ' ')
+  join keyed s on s.key = c.lang || chr(10) || array_to_string(list_slice(c.w, c.k + 1, c.size), ' ')
 ), lowest as (
   select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
 ), inner_phrases as (

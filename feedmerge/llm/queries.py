@@ -14,6 +14,7 @@ from . import (
     langid,
     minhash_dedup,
     mixing,
+    ngram_scores,
     pii,
     quality,
     sharding,
@@ -71,6 +72,10 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents"))
 
 
+def op12_ngram_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_scores.score_documents(table(spark, sf, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     return vector_codes.digest(table(spark, sf, "embeddings"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
         op9_pii,
         op10_quality,
         op11_collocations,
+        op12_ngram_scores,
         op13_vector_codes,
     )
 }
