@@ -90,9 +90,11 @@ class EliasFano:
             part = values & np.uint64((1 << bits) - 1)
             place = np.arange(n, dtype=np.uint64) * np.uint64(bits)
             word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
-            np.bitwise_or.at(low, word, part << shift)
+            begin = np.flatnonzero(np.diff(word, prepend=-1))
+            low[word[begin]] = np.bitwise_or.reduceat(part << shift, begin)
+            # at most one value runs over the end of a word
             over = shift + np.uint64(bits) > np.uint64(64)
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+            low[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
         return cls(n, bits, low, words, ones)
 
     def arrays(self) -> dict[str, np.ndarray]:
@@ -109,6 +111,12 @@ class EliasFano:
         for i in range(0, len(k), 1 << 16):
             some = k[i : i + (1 << 16)]
             word = np.searchsorted(before, some, side="right") - 1
+            first, last = int(word.min()), int(word.max())
+            if last - first < len(some):
+                # dense questions: read the stretch of words once
+                bits = np.unpackbits(self.high[first : last + 1].view(np.uint8), bitorder="little")
+                out[i : i + len(some)] = 64 * first + np.flatnonzero(bits if one else 1 - bits)[some - before[first]]
+                continue
             bits = np.unpackbits(self.high[word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             seen = np.cumsum(bits if one else 1 - bits, axis=1, dtype=np.uint8)
             out[i : i + len(some)] = 64 * word + (seen > (some - before[word]).astype(np.uint8)[:, None]).argmax(axis=1)
@@ -323,26 +331,27 @@ class Chunk:
         """context, word and count of the context at each asked place, and the places."""
         context_count = self.shifted(self.count, self.ends)
         at = np.flatnonzero((self.before1 != UNKNOWN) & (context_count > 0))
-        return at, self.before1[at], self.token[at], context_count[at]
+        context, word = self.before1[at], self.token[at]
+        return at, context, word, context_count[at], (context << np.uint64(32)) | word
 
-    def level3(self, pair_count: np.ndarray):
-        """The same for pairs as contexts; ``pair_count`` tells how often the pair that ends at a token occurs."""
+    def level3(self, pair: np.ndarray, pair_count: np.ndarray):
+        """The same for pairs as contexts; of the pair that ends at a token, ``pair`` is the number and ``pair_count`` how often it occurs."""
         least = LEAST[3]
         context_count = self.shifted(pair_count, self.ends)
         at = np.flatnonzero((self.before1 != UNKNOWN) & (self.before2 != UNKNOWN) & (context_count >= least))
         word = np.where(pair_count[at] >= least, self.token[at], np.uint64(UNKNOWN))
-        return at, (self.before2[at] << np.uint64(32)) | self.before1[at], word, context_count[at]
+        # two begin marks are the first context, all others are numbered in their order
+        number = self.shifted(pair + 1, 0)[at].astype(np.uint64)
+        return at, (self.before2[at] << np.uint64(32)) | self.before1[at], word, context_count[at], (number << np.uint64(32)) | word
 
 
 class Asked:
     """The distinct sequences of a chunk in the order in which they are sent: by shard, context and word."""
 
     def __init__(self, level, train: np.ndarray, shards: int, hot: int):
-        self.at, context, word, context_count = level
-        # equal sequences get one number, by context first and word then
-        c, c_of = np.unique(context, return_inverse=True)
-        w, w_of = np.unique(word, return_inverse=True)
-        _, one, self.of = np.unique(c_of * max(len(w), 1) + w_of, return_index=True, return_inverse=True)
+        # keys are in the order of context first and word then
+        self.at, context, word, context_count, key = level
+        _, one, self.of = np.unique(key, return_index=True, return_inverse=True)
         self.context, self.word, self.context_count = context[one], word[one], context_count[one]
         self.seen = np.bincount(self.of, train[self.at], len(one)).astype(np.int64) if len(one) else np.zeros(0, np.int64)
         salt = np.where(self.context_count >= hot, self.word % np.uint64(SALTS) + np.uint64(1), np.uint64(0))
@@ -357,7 +366,7 @@ class Asked:
             yield level, shard, chunk, len(mine), pack(gaps(self.context[mine]), self.word[mine].astype(np.uint32), self.seen[mine], self.context_count[mine])
 
     def answered(self, answers: list[dict], length: int, hot: dict[int, float], threshold: int):
-        """a, b and count of the sequence that ends at each token; where none was asked, 0, 1 and 0."""
+        """a, b, count and number of the sequence that ends at each token; where none was asked, 0, 1, 0 and -1."""
         a, b, c = np.zeros(len(self.context)), np.ones(len(self.context)), np.zeros(len(self.context), np.int64)
         for r in answers:
             mine = self.parts[r["shard"]]
@@ -365,8 +374,8 @@ class Asked:
             a[mine], b[mine], c[mine] = of_code(ca), of_code(cb), count
         for i in np.flatnonzero(self.context_count >= threshold):
             b[i] = hot.get(int(self.context[i]), 1.0)
-        out = np.zeros(length), np.ones(length), np.zeros(length, np.int64)
-        for values, full in zip((a, b, c), out):
+        out = np.zeros(length), np.ones(length), np.zeros(length, np.int64), np.full(length, -1)
+        for values, full in zip((a, b, c, np.arange(len(c))), out):
             full[self.at] = values[self.of]
         return out
 
@@ -393,7 +402,9 @@ def answers_of(lists: DataFrame, level: int, hot: int) -> DataFrame:
         parts = [unpack(r["data"], r["n"], np.uint64, np.uint32, np.int64, np.int64) for r in rows]
         context = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
         word = np.concatenate([p[1] for p in parts]).astype(np.uint64)
-        order = np.lexsort((word, context))
+        # the lists are sorted, so a stable sort only merges them
+        number = np.unique(context, return_inverse=True)[1].astype(np.uint64) if level > 2 else context
+        order = np.argsort((number << np.uint64(32)) | word, kind="stable")
         context, word = context[order], word[order]
         fresh = np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
         first = np.flatnonzero(fresh)
@@ -443,7 +454,13 @@ class Buckets:
         name = f"ngram_{uuid.uuid4().hex}"
         self.names.append(name)
         df.write.bucketBy(self.count, "chunk").option("path", f"{self.scratch.root}/{name}").saveAsTable(name)
-        return self.spark.table(name)
+        out = self.spark.table(name)
+        out._scratch_path, out._table = f"{self.scratch.root}/{name}", name
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {df._table}")
+        self.scratch.drop(df)
 
     def beside(self, df: DataFrame):
         return df.repartition(self.count, "chunk").groupBy("chunk")
@@ -494,6 +511,8 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
     plain = chunks.drop("words", "seen")
     both = plain.groupBy("chunk").cogroup(buckets.beside(named.select("chunk", "pos", "id", "count")))
     coded = buckets.put(both.applyInArrow(name, f"{_CHUNK}, vocabulary int, names binary"))
+    buckets.drop(chunks)
+    scratch.drop(named)
     shards = max(1, -(-tokens // shard))
     hot = max(hot_least, train // HOT_SHARE)
 
@@ -510,8 +529,8 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
         out = []
         for row in left.to_pylist():
             c = Chunk(row, ends)
-            _, _, pair = Asked(c.level2(), c.train, shards, hot).answered(right.to_pylist(), len(c.token), hot2, hot)
-            out += Asked(c.level3(pair), c.train, shards, hot).lists(3, row["chunk"])
+            _, _, count, pair = Asked(c.level2(), c.train, shards, hot).answered(right.to_pylist(), len(c.token), hot2, hot)
+            out += Asked(c.level3(pair, count), c.train, shards, hot).lists(3, row["chunk"])
         return list_batch(out)
 
     to_chunk = lambda answers: buckets.beside(answers.where("chunk >= 0").select("level", "shard", "chunk", "n", "data"))
@@ -525,8 +544,8 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
         for row in left.to_pylist():
             c = Chunk(row, ends)
             length = len(c.token)
-            a2, b2, pair = Asked(c.level2(), c.train, shards, hot).answered([r for r in answers if r["level"] == 2], length, hot2, hot)
-            a3, b3, _ = Asked(c.level3(pair), c.train, shards, hot).answered([r for r in answers if r["level"] == 3], length, hot3, hot)
+            a2, b2, count, pair = Asked(c.level2(), c.train, shards, hot).answered([r for r in answers if r["level"] == 2], length, hot2, hot)
+            a3, b3, _, _ = Asked(c.level3(pair, count), c.train, shards, hot).answered([r for r in answers if r["level"] == 3], length, hot3, hot)
             base = np.log10(c.count + ADD) - unit
             p = a3 + b3 * (a2 + b2 * 10.0**base)
             tables.append(
