@@ -189,7 +189,7 @@ def bit_set(phrases: DataFrame, filter_bits: int = FILTER_BITS) -> np.ndarray:
     gathers is the bit set itself.
     """
     rows = phrases.count()
-    bits = min(filter_bits, max(15, (16 * rows).bit_length()))
+    bits = max(15, min(filter_bits, (16 * rows).bit_length()))
     block = 1 << 15
 
     def place(batches):

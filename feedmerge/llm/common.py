@@ -124,15 +124,27 @@ def append(batch: pa.RecordBatch, schema: pa.Schema, values: dict) -> pa.RecordB
     return pa.RecordBatch.from_arrays([batch.column(i).cast(schema.field(i).type) for i in range(n)] + fresh, schema=schema)
 
 
+def aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with private names for all columns but ``used``, and what gives a result these columns and names back.
+
+    An operator that adds columns then meets no column of the same name.
+    """
+    names = df.columns
+    private = [c if c in used else f"_aside_{i}" for i, c in enumerate(names)]
+    return df.toDF(*private), lambda result: result.select(*private).toDF(*names)
+
+
 def with_columns(df: DataFrame, columns: str, compute: Callable, text: str = "text") -> DataFrame:
     """``df`` with more columns, which ``compute(slice)`` returns as a dict of arrays.
 
-    ``compute`` is made once in each task by calling the given factory.
+    ``compute`` is made once in each task by calling the given factory. A column of ``df``
+    with the name of a new one gives way to it.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     more = StructType.fromDDL(columns)
+    df = df.drop(*more.names)
     out = StructType(list(df.schema) + list(more))
     added = [f.name for f in more]
     arrow = to_arrow_schema(more)

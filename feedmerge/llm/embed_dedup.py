@@ -70,7 +70,9 @@ def keyed(vectors: DataFrame) -> DataFrame:
                 v = _vector(values)
                 if v is not None:
                     data = np.asarray(values, float).tobytes()
-                    found.append((i, label, v.tobytes(), hashlib.blake2b(data, digest_size=16, key=str(label).encode()[:64]).digest()))
+                    name = str(label).encode("utf-8", "surrogatepass")
+                    key = hashlib.blake2b(len(name).to_bytes(8, "little") + name + data, digest_size=16).digest()
+                    found.append((i, label, v.tobytes(), key))
             columns = list(zip(*found)) or [[], [], [], []]
             kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["vec_id", "label", "vec", "key"])
@@ -203,8 +205,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
     pairs = many.join(other, "bucket").where("part < pb").select("turn", F.lit(False).alias("same"), F.col("m").alias("ma"), "mb")
     found = scratch.put(met(alone, threshold).unionByName(met(pairs, threshold)))
     counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
-    named = member.where("vec_id <> id").join(reps.select(F.col("id").alias("vec_id")).distinct(), "vec_id")
-    again = named.select(F.col("vec_id").alias("a"), F.col("id").alias("b"))
+    # an id that repeats joins all classes it is in
+    several = member.groupBy("vec_id").agg(F.min("id").alias("a"), F.max("id").alias("_most")).where("a <> _most")
+    again = member.join(several, "vec_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     place = components(found.where("b is not null").select("a", "b").union(again), scratch)
     of_class = scratch.put(
         classes.join(counts, "id", "left").join(place, "id", "left").select(

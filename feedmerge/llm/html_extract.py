@@ -93,6 +93,8 @@ NEUTRAL = frozenset("area bar block box bottom column container content group ho
 #: Elements that mark content themselves, and blocks that are content but not its place.
 MARKS = ("article", "main")
 LEAVES = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 hr pre blockquote address summary legend caption figcaption".split())
+#: Lines that belong to the text after them.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th".split())
 OUTERMOST = ("#root", "html", "body")
 NEVER_SKIP = frozenset("html body main".split())
 #: Headings and text blocks, whose ids are made from their text.
@@ -486,6 +488,27 @@ def extract(page: str | None, constant: frozenset[int] = frozenset(), places: fr
     return choose(page, constant, places)[0]
 
 
+def with_headings(found: Page, varying: list[bool]) -> list[bool]:
+    """``varying``, and the constant headings whose own text varies: the next line below the same parent that is no heading."""
+    kept = list(varying)
+    for i, (at, _) in enumerate(found.lines):
+        if varying[i] or found.tag[at] not in HEADINGS:
+            continue
+        # a term or table head may lie in a row of its own
+        parent = found.up[found.up[at]] if found.tag[at] == "th" else found.up[at]
+        for j in range(i + 1, len(found.lines)):
+            node = found.lines[j][0]
+            if found.tag[node] in HEADINGS and not varying[j]:
+                if found.up[node] == found.up[at] and found.tag[at][0] == "h" and found.tag[node] <= found.tag[at]:
+                    break
+                continue
+            while node > parent:
+                node = found.up[node]
+            kept[i] = node == parent and varying[j]
+            break
+    return kept
+
+
 def choose(page: str | None, constant: frozenset[int], places: frozenset[int]) -> tuple[str, str]:
     """The text of a page and what decided where it is: wrapper, article, main or body."""
     if not page:
@@ -500,6 +523,8 @@ def choose(page: str | None, constant: frozenset[int], places: frozenset[int]) -
         size[at] += kept * len(text)
     for i in range(len(size) - 1, 0, -1):
         size[found.up[i]] += size[i]
+    # headings do not decide where the content is, but belong to it
+    varying = with_headings(found, varying)
     held: dict[int, int] = {}
     for i, path in enumerate(found.path):
         if path in places:

@@ -14,6 +14,7 @@ code point order. With no language to learn from everything is ``und``.
 Every language of the training fold is learned, each by itself from about ``per_language`` of
 its documents, and of them the ``FIT_WORDS`` most frequent word forms. Scoring reads every whole text;
 it knows ``SLICE`` languages at a time, and with more of them the texts are read once for each slice.
+Repeated rows count in the sample as often as they stand there.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PER_LANGUAGE = 400
 #: Languages that one pass over the texts scores, so that what a task holds is bounded.
 SLICE = 64
+#: Largest vocabulary file, as its pieces go to every task.
+MOST_BYTES = 16 << 20
 MAX_PIECE = 8
 CHUNK = 32
 ROUNDS = 3
@@ -42,6 +45,16 @@ SMOOTH = 0.1
 LIFT = 32.0
 
 WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Lower-case runs of letters; numerals that are no digits, as fractions are, are no letters."""
+    found = WORD.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 #: Most frequent word forms of a language's sample that the fit reads.
 FIT_WORDS = 60_000
 
@@ -55,7 +68,10 @@ def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
     the pieces travel with the tasks.
     """
     with open(path, "rb") as file:
-        lines = file.read(16 << 20).splitlines()
+        data = file.read(MOST_BYTES + 1)
+    if len(data) > MOST_BYTES:
+        raise ValueError(f"the vocabulary {path} is larger than {MOST_BYTES} bytes")
+    lines = data.splitlines()
     pieces = {base64.b64decode(line.split()[0]) for line in lines if line.strip()}
     singles = {bytes([b]) for b in range(256)}
     return sorted({p for p in pieces if 0 < len(p) <= MAX_PIECE} | singles)
@@ -201,7 +217,8 @@ def fit_languages(
     Each language is fitted in a task of its own; held-out rows are never read.
     """
     train = docs.where("text is not null and lang is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
-    position = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(seed)), F.lit(1 << 20)) / F.lit(1 << 20)
+    # rows without an id are told apart by their texts
+    position = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), F.lit(seed)), F.lit(1 << 20)) / F.lit(1 << 20)
     placed = train.select("lang", "text", position.alias("_at"))
     # a language whose few ids all lie high is read from its lowest on
     seen = placed.groupBy("lang").agg(F.greatest(F.lit(per_language) / F.count(F.lit(1)), F.min("_at") + F.lit(1e-9)).alias("_share"))
@@ -214,7 +231,7 @@ def fit_languages(
 
         words = Counter()
         for text in pdf["text"]:
-            words.update(WORD.findall(text.lower()))
+            words.update(words_of(text))
         p = fit_local({w: np.array([n], float) for w, n in words.items()}, Segmenter(pieces), 1)
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "p": [p[:, 0].astype(np.float64).tobytes()]})
 
@@ -257,7 +274,7 @@ def scored(docs: DataFrame, model: LanguageModel, text: str) -> DataFrame:
         cache = WordCache(word_scores(Segmenter(model.pieces), model.logp))
 
         def work(batch):
-            words = [WORD.findall(t.lower()) if t else [] for t in batch.column(text).to_pylist()]
+            words = [words_of(t) if t else [] for t in batch.column(text).to_pylist()]
             size = np.fromiter(map(len, words), np.int64, len(words))
             values = cache.values([w for some in words for w in some])
             total = np.concatenate((np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)))

@@ -46,7 +46,8 @@ BAND = 4
 MISS = 1e-6
 BATCH = 16
 BLOCK = 256
-#: Equal 32-bit hashes of different shingles that a pair may have before it is misjudged.
+#: Equal 32-bit hashes of different shingles that a pair may have before it is misjudged; it
+#: grows with the squared sizes, as the expected number of them does.
 SLACK = 4
 
 
@@ -222,7 +223,7 @@ def compare_blocks(members: DataFrame) -> DataFrame:
 
     A pair is looked at in the first bucket it shares. If it passes the sequential test,
     its 32-bit sets tell its similarity up to a few equal hashes. Pairs below the
-    threshold by more than ``SLACK`` shingles are dropped, those above it by as much are
+    threshold by more than the allowance in shingles are dropped, those above it by as much are
     thinned to a forest that connects the same members, and those in between all stay.
     """
     rule = least_matches()
@@ -276,10 +277,12 @@ def _worth_checking(found, ia, ib, ta, tb) -> list[tuple[int, int]]:
         u, v = ta[i], tb[j]
         same = len(np.intersect1d(u, v, assume_unique=True))
         margin = down * same - up * (len(u) + len(v) - same)
-        if margin < -SLACK * (up + down):
+        # long sets have equal 32-bit hashes of their own
+        slack = (SLACK + ((len(u) + len(v)) ** 2 >> 31)) * (up + down)
+        if margin < -slack:
             continue
         a, b = int(ia[i]), int(ib[j])
-        if margin > SLACK * (up + down):
+        if margin > slack:
             p, q = top(a), top(b)
             if p == q:
                 continue
@@ -316,7 +319,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = scratch.put(real.join(classes, "set_key").select("doc_id", "set_key", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("sig")).alias("sig")))
     # a representative id may stand for several sets if an id repeats; they are one document
     reps = scratch.put(member.where("sig is not null").select(F.col("rep").alias("id"), "set_key", "sig").dropDuplicates(["id", "set_key"]))
-    again = member.where("doc_id <> rep").join(reps.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # an id that repeats joins all classes it is in
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("_most")).where("a <> _most")
+    again = member.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     buckets = scratch.put(banded(reps).groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     inside = scratch.put(banded(reps).join(buckets, "bucket"))
     # the texts of all that may ever be a candidate, shuffled once and kept

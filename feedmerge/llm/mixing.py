@@ -8,8 +8,8 @@ equal share of every length is taken, and dynamic programming over the counts th
 left finds the lengths whose sum comes nearest to what remains. Which documents of a
 length are taken is decided by a seeded hash.
 
-The dynamic programme is a bit set of reachable sums of at most ``DP_WORDS`` words; what
-lies above that bound is first filled with the longest documents left. It runs
+The dynamic programme is a bit set of reachable sums of at most ``DP_WORDS`` words, or fewer than the
+shortest document left has; what lies above that bound is first filled with the longest documents left. It runs
 once for each source, over its number of distinct lengths, which is at most the square root of
 twice its words.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, aside
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -75,7 +75,7 @@ def choose_lengths(counts: dict[int, int], budget: int, dp_words: int = DP_WORDS
     taken = {n: c * budget // total for n, c in counts.items()}
     left = budget - sum(n * c for n, c in taken.items())
     for n in sorted(counts, reverse=True):
-        if left <= dp_words:
+        if left <= dp_words or not n:
             break
         more = min(counts[n] - taken[n], (left - dp_words + n - 1) // n, left // n)
         taken[n] += more
@@ -162,6 +162,6 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them."""
-    columns = docs.columns
+    hidden, back = aside(docs, "doc_id", "text", "source")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))
-    return mix_sources(docs).where("_times > 0").select(*columns, times.alias("_copy")).select(*columns)
+    return back(mix_sources(hidden).where("_times > 0").select(*hidden.columns, times.alias("_copy")))

@@ -15,7 +15,7 @@ from test_operators import brute_components, brute_hits
 
 def test_all_are_registered():
     registered = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(registered)
     assert set(SQL) <= set(QUERIES) and set(SQL) <= set(entry.oracle_sql())
 
