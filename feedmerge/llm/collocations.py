@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, sliced
+from .common import Scratch, distinct, mix, sliced
 
 LEAST = 30
 LONGEST = 4
@@ -49,7 +49,7 @@ COVER = 80
 TOP = 2000
 #: The first threshold is the score of this many times ``TOP`` two-word phrases.
 GUESS = 2
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 FILTER_BITS = 25
 SALTS = 64
 
@@ -114,7 +114,7 @@ class Chunk:
                 code = np.unique(code, return_inverse=True)[1]
                 size = len(at)
             code, size = code * most + self.ids[at + i], size * most
-        _, one, times = np.unique(code, return_index=True, return_counts=True)
+        one, times, _ = distinct(code)
         spot = at[one]
         words = [self.words.take(pa.array(self.ids[spot + i])) for i in range(n)]
         phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary())) if n > 1 else words[0]
@@ -146,6 +146,10 @@ class Test(NamedTuple):
     bits: np.ndarray
 
     def hits(self, chunk: Chunk, at: np.ndarray) -> np.ndarray:
+        if self.size == 1 and len(chunk.langs) <= 8:
+            # single words: asked once for each word and language
+            known = np.stack([member(self.bits, extended(h, chunk.word_hash)) for h in chunk.lang_hash])
+            return known[chunk.lang[at], chunk.ids[at + self.offset]]
         return member(self.bits, chunk.hashes(at + self.offset, self.size))
 
 

@@ -269,6 +269,13 @@ class PowerTable:
         return self.up, self.down
 
 
+def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct values in their order: a place of each, how often it stands there, and the order of all."""
+    order = np.argsort(key)
+    fresh = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[order[1:]] != key[order[:-1]])))
+    return order[fresh], np.diff(fresh, append=len(key)), order
+
+
 def in_one_task(sample: DataFrame, fit: Callable, schema: str) -> DataFrame:
     """Apply ``fit`` (a pandas frame to a pandas frame) to a sample of bounded size."""
 

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix, sliced
+from .common import Scratch, distinct, mix, sliced
 
 ADD = 0.1
 DISCOUNT = 0.75
@@ -56,6 +56,9 @@ SALTS = 64
 GRID = 4096.0
 NONE = np.uint16(0xFFFF)
 
+#: What each code stands for.
+CODED = np.append(10.0 ** (-np.arange(0xFFFF) / GRID), 0.0)
+
 BEGIN, END, FIRST = 0, 1, 2
 UNKNOWN = 0xFFFFFFFF
 WORD = np.ones(256, bool)
@@ -171,7 +174,7 @@ def to_code(p: np.ndarray) -> np.ndarray:
 
 
 def of_code(code: np.ndarray) -> np.ndarray:
-    return np.where(code == NONE, 0.0, 10.0 ** (-code.astype(float) / GRID))
+    return CODED[code]
 
 
 class Trie:
@@ -214,10 +217,11 @@ class Trie:
 
     def ask(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of a and b for sorted (context, word); an unknown context leaves all to the shorter one."""
-        distinct, of = np.unique(context, return_inverse=True)
-        at = self.contexts.find(distinct)
+        fresh = np.concatenate((np.ones(min(len(context), 1), bool), context[1:] != context[:-1]))
+        own, of = context[fresh], np.cumsum(fresh) - 1
+        at = self.contexts.find(own)
         known = np.flatnonzero(at >= 0)
-        start, end, base = (np.zeros(len(distinct), t) for t in (np.int64, np.int64, np.uint64))
+        start, end, base = (np.zeros(len(own), t) for t in (np.int64, np.int64, np.uint64))
         start[known] = self.pointers.get(at[known]).astype(np.int64)
         end[known] = self.pointers.get(at[known] + 1).astype(np.int64)
         later = known[start[known] > 0]
@@ -225,7 +229,7 @@ class Trie:
         found = self.children.find(word + base[of], start[of], end[of])
         a = np.full(len(word), NONE, np.uint16)
         a[found >= 0] = self.a[found[found >= 0]]
-        b = np.zeros(len(distinct), np.uint16)
+        b = np.zeros(len(own), np.uint16)
         b[known] = self.b[at[known]]
         return a, b[of]
 
@@ -351,12 +355,14 @@ class Asked:
     def __init__(self, level, train: np.ndarray, shards: int, hot: int):
         # keys are in the order of context first and word then
         self.at, context, word, context_count, key = level
-        _, one, self.of = np.unique(key, return_index=True, return_inverse=True)
+        one, times, order = distinct(key)
+        self.of = np.empty(len(key), np.int64)
+        self.of[order] = np.repeat(np.arange(len(one)), times)
         self.context, self.word, self.context_count = context[one], word[one], context_count[one]
         self.seen = np.bincount(self.of, train[self.at], len(one)).astype(np.int64) if len(one) else np.zeros(0, np.int64)
         salt = np.where(self.context_count >= hot, self.word % np.uint64(SALTS) + np.uint64(1), np.uint64(0))
         with np.errstate(over="ignore"):
-            self.shard = (mix(mix(self.context) ^ salt) % np.uint64(shards)).astype(np.int64)
+            self.shard = (mix(mix(self.context) ^ salt) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
         self.order = np.argsort(self.shard, kind="stable")
         found, cut = np.unique(self.shard[self.order], return_index=True)
         self.parts = dict(zip(found.tolist(), np.split(self.order, cut[1:]))) if len(found) else {}
@@ -497,10 +503,10 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
     number = F.col("part") + F.lit(parts) * (F.col("rank") - 1) + FIRST
     named = scratch.put(named.select("chunk", "pos", "seen", "count", "head", F.when(F.col("count") > 0, number).otherwise(F.lit(UNKNOWN)).alias("id")))
     counted = named.agg(F.sum("seen"), F.count_if(F.col("head") & (F.col("count") > 0)), F.max(F.when(F.col("count") > 0, F.col("id")))).first()
-    train, distinct = int(counted[0] or 0) + ends, int(counted[1] or 0) + (ends > 0)
+    train, vocabulary = int(counted[0] or 0) + ends, int(counted[1] or 0) + (ends > 0)
     if int(counted[2] or 0) >= UNKNOWN - 1:
         raise ValueError("too many distinct words to number")
-    unit = math.log10(train + ADD * (distinct + 1))
+    unit = math.log10(train + ADD * (vocabulary + 1))
 
     def name(key, left: pa.Table, right: pa.Table) -> pa.Table:
         at = right.column("pos").to_numpy()
@@ -547,7 +553,7 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
             a2, b2, count, pair = Asked(c.level2(), c.train, shards, hot).answered([r for r in answers if r["level"] == 2], length, hot2, hot)
             a3, b3, _, _ = Asked(c.level3(pair, count), c.train, shards, hot).answered([r for r in answers if r["level"] == 3], length, hot3, hot)
             base = np.log10(c.count + ADD) - unit
-            p = a3 + b3 * (a2 + b2 * 10.0**base)
+            p = a3 + b3 * (a2 + b2 * (c.count + ADD) / (train + ADD * (vocabulary + 1)))
             tables.append(
                 pa.table(
                     {
