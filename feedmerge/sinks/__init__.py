@@ -5,5 +5,15 @@ from feedmerge.sinks.files import (
     write_run,
     write_snapshot,
 )
+from feedmerge.sinks.published import publish_partitions, read_published, vacuum
 
-__all__ = ["append_offsets", "replace_partitions", "run_path", "write_run", "write_snapshot"]
+__all__ = [
+    "append_offsets",
+    "publish_partitions",
+    "read_published",
+    "replace_partitions",
+    "vacuum",
+    "run_path",
+    "write_run",
+    "write_snapshot",
+]

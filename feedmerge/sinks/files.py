@@ -57,7 +57,9 @@ def replace_partitions(
 ) -> None:
     """Overwrite only the partitions that ``df`` has rows for.
 
-    ``df`` may read from ``path``: its files go when the whole job has committed.
+    ``df`` may read from ``path``: its files go when the whole job has committed. That commit
+    moves one partition after the other; a driver that is lost in it leaves some
+    of them without rows. ``publish_partitions`` has no such moment.
     """
     spread = df.hint("rebalance", *[F.col(c) for c in by]) if rebalance else df
     (

@@ -1,9 +1,11 @@
-"""Continuous upserts with ``foreachBatch``.
-
-State is kept as the newest rows of each key, chosen by event time and log position
-and never by arrival. Merging the same rows again changes nothing, so a repeated
-batch is harmless, a new checkpoint may go on over an old base, and the result is
-that of one batch over all rows, in whatever order and batches they came.
+"""Continuous upserts with ``foreachBatch``, merged when they are read.
+
+State is the newest rows of each key, chosen by event time and log position and never by
+arrival. A micro-batch only adds its own newest rows as a change; readers merge changes with the
+stored partitions. Above ``COMPACT`` changes, a batch merges them into the partitions they touch
+and publishes these at once, then withdraws the changes. Merging the same rows again alters nothing, so
+a crash between the two, a repeated batch or a new checkpoint over an old base is harmless, and the
+result is that of one batch over all rows, in whatever order and batches they came.
 """
 
 from __future__ import annotations
@@ -27,10 +29,18 @@ from feedmerge.operators.latest import latest_per_key
 from feedmerge.operators.overlay import conform
 from feedmerge.operators.snapshot import ACCOUNT_KEY, latest_accounts
 from feedmerge.schemas import METRICS_DELTA, POSTS_DELTA
-from feedmerge.sinks.files import replace_partitions
-from feedmerge.sources.files import read_if_exists
+from feedmerge.sinks.published import (
+    current,
+    publish_changes,
+    publish_partitions,
+    read_versions,
+    vacuum,
+    withdraw,
+)
 
 BUCKET = "bucket"
+#: Changes that are kept beside the stored partitions.
+COMPACT = 16
 STATE_DAY = "stateday"
 
 
@@ -48,32 +58,63 @@ def _start(
     )
 
 
-def _merge_into(
-    fresh: DataFrame, path: str, by: str, newest: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Merge rows into the stored partitions that they touch, and replace only those."""
-    spark = fresh.sparkSession
-    fresh = newest(fresh).persist()
-    try:
-        # one row per touched partition: buckets or days
-        touched = [r[0] for r in fresh.select(by).distinct().collect()]
-        if not touched:
-            return
-        stored = read_if_exists(spark, path)
-        if stored is not None:
-            old = stored.withColumn(by, F.col(by).cast(fresh.schema[by].dataType))
-            merged = newest(old.where(F.col(by).isin(touched)).unionByName(fresh, allowMissingColumns=True))
-        else:
-            merged = fresh
-        replace_partitions(merged, path, [by])
-    finally:
-        fresh.unpersist()
+Newest = Callable[[DataFrame], DataFrame]
+
+
+def _places(path: str) -> tuple[str, str]:
+    """Where the changes and the stored partitions of a state lie."""
+    base = path.rstrip("/")
+    return f"{base}/changes", f"{base}/stored"
+
+
+def read_state(spark: SparkSession, path: str, newest: Newest, by: str) -> DataFrame | None:
+    """Stored partitions and changes merged, or None before the first batch.
+
+    The changes are read first: those that are merged meanwhile then lie in both and count once.
+    """
+    changes, stored = _places(path)
+    sides = [read_versions(spark, p, current(spark, p)[1]) for p in (changes, stored)]
+    sides = [s for s in sides if s is not None]
+    if not sides:
+        return None
+    if len(sides) == 2:
+        kind = sides[0].schema[by].dataType
+        sides[1] = sides[1].withColumn(by, F.col(by).cast(kind))
+        return newest(sides[0].unionByName(sides[1], allowMissingColumns=True))
+    return newest(sides[0])
+
+
+def add_changes(fresh: DataFrame, path: str, by: str, newest: Newest, compact: int) -> None:
+    """Publish the newest of some rows as a change; merge the changes if there are many."""
+    held = publish_changes(newest(fresh), _places(path)[0])
+    if held > compact:
+        merge_changes(fresh.sparkSession, path, by, newest)
+
+
+def merge_changes(spark: SparkSession, path: str, by: str, newest: Newest) -> list[str]:
+    """Merge all changes into the stored partitions they touch; returns these partitions."""
+    changes, stored = _places(path)
+    versions = current(spark, changes)[1]
+    rows = read_versions(spark, changes, versions)
+    if rows is None:
+        return []
+    kind = rows.schema[by].dataType
+    # one row per touched partition: buckets or days
+    touched = {f"{by}={r[0]}" for r in rows.select(F.col(by).cast("string")).distinct().collect()}
+    old = read_versions(spark, stored, current(spark, stored)[1], touched.__contains__)
+    if old is not None:
+        rows = old.withColumn(by, F.col(by).cast(kind)).unionByName(rows, allowMissingColumns=True)
+    published = publish_partitions(newest(rows), stored, [by])
+    withdraw(spark, changes, versions[""])
+    vacuum(spark, changes, [])
+    vacuum(spark, stored, [by])
+    return published
 
 
 def read_accounts(spark: SparkSession, base: str) -> DataFrame | None:
     """The accounts of ``stream_upsert_blogs``, or None before the first batch."""
-    stored = read_if_exists(spark, base)
-    return None if stored is None else stored.drop(BUCKET)
+    state = read_state(spark, base, latest_accounts, BUCKET)
+    return None if state is None else state.drop(BUCKET)
 
 
 def stream_upsert_blogs(
@@ -83,10 +124,12 @@ def stream_upsert_blogs(
     merge_date: str | Column | None = None,
     trigger: dict | None = None,
     buckets: int = 64,
+    compact: int = COMPACT,
 ) -> StreamingQuery:
     """Keep the newest row per account; late rows lose to newer stored ones.
 
-    Accounts lie in ``buckets`` partitions by key; a batch rewrites those it touches.
+    A batch writes its own rows only; above ``compact`` changes they are merged into
+    ``buckets`` partitions by key.
     ``mergedate`` is the day of the row's own time unless ``merge_date`` fixes it.
     """
     if merge_date is None:
@@ -95,7 +138,7 @@ def stream_upsert_blogs(
     def upsert(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumn("mergedate", F.lit(merge_date))
         placed = stamped.withColumn(BUCKET, key_bucket(ACCOUNT_KEY, buckets))
-        _merge_into(placed, base, BUCKET, latest_accounts)
+        add_changes(placed, base, BUCKET, latest_accounts, compact)
 
     return _start(blogs, checkpoint, trigger, upsert)
 
@@ -107,9 +150,18 @@ def tag_feeds(posts: DataFrame, metrics: DataFrame) -> DataFrame:
     )
 
 
+SIDES = (("post", POST_ORDER), ("metric", METRIC_ORDER))
+
+
+def newest_of(order) -> Newest:
+    return lambda rows: latest_per_key(rows, ["id", STATE_DAY], order, ())
+
+
 def read_upserted_posts(spark: SparkSession, path: str) -> DataFrame | None:
     """The merged posts of ``stream_upsert_posts``: counts and the latest day resolved."""
-    posts, metrics = (read_if_exists(spark, f"{path.rstrip('/')}/{name}") for name in ("posts", "metrics"))
+    posts, metrics = (
+        read_state(spark, f"{path.rstrip('/')}/{name}s", newest_of(order), STATE_DAY) for name, order in SIDES
+    )
     if posts is None and metrics is None:
         return None
 
@@ -130,20 +182,19 @@ def stream_upsert_posts(
     lower: DateLike,
     upper: DateLike,
     trigger: dict | None = None,
+    compact: int = COMPACT,
 ) -> StreamingQuery:
     """Keep the newest post row and the newest metric row of every post and day.
 
     The two stay apart below ``path``, so it does not matter which came first;
-    ``read_upserted_posts`` joins them. A batch rewrites the days it touches.
+    ``read_upserted_posts`` joins them. A batch writes its own rows only; above ``compact``
+    changes they are merged into their days.
     """
-    keys = ["id", STATE_DAY]
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        for name, order in (("post", POST_ORDER), ("metric", METRIC_ORDER)):
+        for name, order in SIDES:
             rows = batch.where(F.col(name).isNotNull()).select(f"{name}.*").where("id is not null")
             dated = filter_date_range(rows, "partdate", lower, upper, STATE_DAY)
-            _merge_into(
-                dated, f"{path.rstrip('/')}/{name}s", STATE_DAY, lambda df, o=order: latest_per_key(df, keys, o, ())
-            )
+            add_changes(dated, f"{path.rstrip('/')}/{name}s", STATE_DAY, newest_of(order), compact)
 
     return _start(tag_feeds(posts, metrics), checkpoint, trigger, upsert)
