@@ -408,6 +408,22 @@ SQL: dict[str, str] = {
     "merge_blogs_after_gap": f"""select * replace (
       case when execdate = '2024-01-17' then '20240117' else mergedate end as mergedate)
       from ({every_account("2024-01-19", "execdate in ('2024-01-17', '2024-01-18', '2024-01-19')")})""",
+    "merge_late_runs": f"""select * replace (case
+      when kafkaoffset % 3 <> 0 and execdate = '2024-01-17' then '20240117'
+      when execdate = '2024-01-19' and kafkaoffset % 3 = 0 or execdate = '2024-01-20' then '20240120'
+      when kafkaoffset % 3 = 0 and execdate = '2024-01-18' then '20240119'
+      else '20240119' end as mergedate)
+      from ({every_account("2024-01-19", "execdate in ('2024-01-17', '2024-01-18', '2024-01-19')")})""",
+    "offset_gaps": """with rows_ as (select user_id % 16 as p, event_id as o from events),
+    read_ as (select * from rows_ where o % 7 <> 3 union all select * from rows_ where o % 11 = 5),
+    times as (select p, o, count(*) n from read_ group by p, o),
+    bounds as (select p, min(o) lo from times group by p),
+    ends as (select p, max(o) + 3 hi from rows_ group by p),
+    unseen as (select p, o from (select ends.p, unnest(range(coalesce(lo, 0), hi + 1)) o from ends left join bounds on ends.p = bounds.p)
+      where (p, o) not in (select (p, o) from times)),
+    marked as (select 'lost' kind, p, o from unseen union all select 'repeated', p, o from times where n > 1),
+    ranked as (select kind, p, o, o - row_number() over (partition by kind, p order by o) i from marked)
+    select kind, cast(p as int) kafkapartition, min(o) "first", max(o) "last", max(o) - min(o) + 1 offsets from ranked group by kind, p, i""",
     "merge_day": MERGED_DAYS,
     "retention_keep": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') o_orderdate, o_orderpriority
@@ -420,6 +436,10 @@ SQL: dict[str, str] = {
     "retention_remove": f"""with s as ({blogs(ALL)})
     select accountid, kafkaoffset, execdate from s
     where execdate not between '{LOWER}' and '{EXEC_DATE}'""",
+    "retention_guarded": f"""with hours as (select cast(ts as date) runday, hour(ts) h from events group by 1, 2)
+    select strftime(runday, '%Y-%m-%d') runday, count(*) runs, count(*) filter (day(runday) % 3 = 0 and h % 5 = 0) pending,
+      case when pending > 0 then pending || ' of ' || runs || ' runs are not merged' end reason
+    from hours where runday between date '{LOWER}' and date '{EXEC_DATE}' group by 1""",
     # scalar functions
     "url_key": "select page_id, md5(url) url_key from pages",
     "url_key_sha1": "select page_id, substr(sha1(url), 1, 32) url_key from pages",

@@ -18,7 +18,7 @@ from feedmerge import plans
 from feedmerge.operators.join import DAY, days_of_range
 from feedmerge.plans import daily
 from feedmerge.plans.ingest import BROKEN, broken_path
-from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_table
+from feedmerge.plans.merge_blogs import create_blogs_table, merge_blogs_runs, merge_blogs_table
 from feedmerge.plans.merge_posts import (
     create_posts_table,
     merge_posts_table,
@@ -44,7 +44,7 @@ from feedmerge.sinks import (
 )
 from feedmerge.sinks.retention import remove_days
 from feedmerge.sinks.tables import replace_table_days
-from feedmerge.sources import files, log
+from feedmerge.sources import files, ledger, log
 from feedmerge.streaming import (
     read_accounts,
     read_upserted_posts,
@@ -530,6 +530,38 @@ def merge_blogs_after_gap(spark, sf):
     return spark.read.parquet(plans.merge_blogs(spark, f"{base}/blogs", f"{base}/merged", days[-1]))
 
 
+LATE_DAYS = ["2024-01-17", "2024-01-18", "2024-01-19"]
+
+
+@query
+def merge_late_runs(spark, sf):
+    """Of every day a third comes late, after that day was merged, and the next merge takes it; day 18 has no merge."""
+    base, rows = scratch_dir(spark, "late"), feeds.blogs(spark, sf, None)
+    blogs, accounts, noted = (f"{base}/{n}" for n in ("blogs", "accounts", "ledger"))
+
+    def send(day, late):
+        run = run_path(blogs, day, RUN_AT + dt.timedelta(hours=late))
+        write_run(rows.where(F.col("execdate") == day).where((F.col("kafkaoffset") % 3 == 0) == F.lit(bool(late))), run)
+        ledger.record_written(spark, noted, "blogs", [run])
+
+    for day in LATE_DAYS:
+        send(day, 0)
+        if day != LATE_DAYS[1]:
+            merge_blogs_runs(spark, blogs, accounts, noted, day)
+        send(day, 1)
+    merge_blogs_runs(spark, blogs, accounts, noted, EXEC_DATE)
+    return spark.read.parquet(files.day_path(accounts, EXEC_DATE))
+
+
+@query
+def offset_gaps(spark, sf):
+    """Reads that miss every seventh message of some partitions and repeat others, against what was committed."""
+    rows = feeds.events(spark, sf).selectExpr("cast(user_id % 16 as int) kafkapartition", "event_id kafkaoffset")
+    ends = rows.groupBy("kafkapartition").agg((F.max("kafkaoffset") + 3).alias("latestoffset"))
+    read = rows.where("kafkaoffset % 7 <> 3")
+    return op.offset_gaps(read.union(rows.where("kafkaoffset % 11 = 5")), ends, block=1000)
+
+
 @query
 def merge_day(spark, sf):
     """Two days of all feeds over stored posts and a stored snapshot."""
@@ -581,6 +613,15 @@ def retention_remove(spark, sf):
     return spark.read.schema("accountid STRING, kafkaoffset BIGINT, execdate STRING").parquet(base)
 
 
+@query
+def retention_guarded(spark, sf):
+    """An hourly run for each hour of events; those of every fifth hour are not merged yet."""
+    hours = feeds.events(spark, sf).groupBy(F.date_format("ts", "yyyyMMdd/'run='HH").alias("run"), F.to_date("ts").alias("runday")).agg(F.max(F.hour("ts")).alias("h"))
+    written = hours.select(F.lit("events").alias("feed"), "run", "runday", F.lit(None).cast("date").alias("mergedday"))
+    merged = hours.where((F.dayofmonth("runday") % 3 != 0) | (F.col("h") % 5 != 0)).select(F.lit("events").alias("feed"), "run", "runday", F.date_add("runday", 1).alias("mergedday"))
+    return plain(ledger.guarded_days(written.union(merged), LOWER, EXEC_DATE))
+
+
 # Scalar functions
 
 

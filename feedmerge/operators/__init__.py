@@ -1,3 +1,4 @@
+from feedmerge.operators.coverage import islands, offset_gaps
 from feedmerge.operators.decode import (
     decode_json,
     flatten_blogs,
@@ -29,6 +30,8 @@ from feedmerge.operators.retention import expired, kept
 from feedmerge.operators.snapshot import latest_accounts, merge_accounts, union_by_name
 
 __all__ = [
+    "islands",
+    "offset_gaps",
     "compact_offsets",
     "decode_json",
     "distinct_days",

@@ -61,8 +61,17 @@ def broken_path(base: str, run: str) -> str:
 
 
 def keep_broken(feed: Feed, messages: DataFrame, run: str, base: str, exec_date: str) -> int:
-    """Write the text of a run's broken messages aside and count them; reads the messages again."""
+    """Write the text of a run's broken messages aside and count them.
+
+    Reads the messages again, and of them only those up to the offsets that the run holds: a log read
+    that is open at its end is longer the second time, and what came since belongs to the next run.
+    """
+    spark = messages.sparkSession
+    held = spark.read.schema("kafkapartition INT, kafkaoffset BIGINT").parquet(run)
+    # one row for each log partition
+    ends = held.groupBy("kafkapartition").agg(F.max("kafkaoffset").alias("_end"))
     text = decode_json(messages, feed.json_schema, BROKEN).where(F.col(BROKEN).isNotNull())
+    text = text.join(F.broadcast(ends), "kafkapartition").where("kafkaoffset <= _end")
     path = broken_path(base, run)
     kept = text.select("kafkapartition", "kafkaoffset", BROKEN, F.lit(exec_date).alias("execdate"))
     kept.write.mode("overwrite").parquet(path)

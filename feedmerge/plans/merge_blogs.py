@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from feedmerge.functions.dates import DateLike, parse_day
 from feedmerge.operators.snapshot import ACCOUNT_KEY, merge_accounts
-from feedmerge.schemas import BLOGS_DELTA
+from feedmerge.schemas import BLOGS_DELTA, ddl
 from feedmerge.sinks.files import write_snapshot
 from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
 from feedmerge.sources.files import (
+    child_names,
     day_path,
     read_days_after,
-    read_if_exists,
     snapshot_day_before,
 )
+from feedmerge.sources.ledger import read_runs, record_merged, runs_to_merge
 
 
 def merge_blogs(
@@ -29,7 +30,7 @@ def merge_blogs(
     """Merge all deltas since the previous snapshot into it and write the day's.
 
     The previous snapshot is that of ``prev_exec_date``, or the newest finished one
-    before the day. Only the absence of any means a first run. Delta days between it
+    before the day. Only the absence of any means a first run; a named one must be there. Delta days between it
     and the day, which a schedule missed, are merged too.
     """
     day = parse_day(exec_date)
@@ -41,13 +42,40 @@ def merge_blogs(
     elif parse_day(prev_exec_date) == day:
         raise ValueError("a snapshot cannot be merged into itself")
     else:
-        snapshot = read_if_exists(spark, day_path(merged_path, prev_exec_date))
-        since = None if snapshot is None else parse_day(prev_exec_date)
+        since = parse_day(prev_exec_date)
+        path = day_path(merged_path, since)
+        if "_SUCCESS" not in child_names(spark, path):
+            raise ValueError(f"there is no finished snapshot at {path}")
+        snapshot = spark.read.parquet(path)
     delta = read_days_after(spark, blogs_path, since, day)
     merged = merge_accounts(delta, snapshot, f"{day:%Y%m%d}")
     return write_snapshot(merged, merged_path, day, ACCOUNT_KEY, files)
 
 
+def merge_blogs_runs(
+    spark: SparkSession,
+    blogs_path: str,
+    merged_path: str,
+    ledger: str,
+    exec_date: DateLike,
+    feed: str = "blogs",
+    files: int | None = None,
+) -> list[str]:
+    """Merge every run that no earlier day has merged into the newest snapshot before the day.
+
+    Late runs and missed days are among them. The ledger is told after the snapshot is written, so
+    a merge that dies is done again. Returns the runs.
+    """
+    day = parse_day(exec_date)
+    since = snapshot_day_before(spark, merged_path, day)
+    snapshot = None if since is None else spark.read.parquet(day_path(merged_path, since))
+    runs = runs_to_merge(spark, ledger, feed, day)
+    delta = read_runs(spark, blogs_path, runs, ddl(BLOGS_DELTA))
+    write_snapshot(merge_accounts(delta, snapshot, f"{day:%Y%m%d}"), merged_path, day, ACCOUNT_KEY, files)
+    record_merged(spark, ledger, feed, runs, day)
+    return runs
+
+
 SNAPSHOT_DAY = "snapshotdate"
 
 

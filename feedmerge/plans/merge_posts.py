@@ -28,8 +28,10 @@ from feedmerge.schemas import (
 )
 from feedmerge.session import configure
 from feedmerge.sinks.files import replace_partitions
+from feedmerge.sinks.published import is_published, publish_partitions, read_published
 from feedmerge.sinks.tables import bucket_count, create_bucketed, replace_table_days
-from feedmerge.sources.files import near_days, read_day, read_history
+from feedmerge.sources.files import near_days, read_day, read_history, read_if_exists
+from feedmerge.sources.ledger import read_runs, record_merged, runs_to_merge
 
 STORED_DATE = "partdate"
 
@@ -115,14 +117,30 @@ def read_stored_posts(
     spark: SparkSession, path: str, lower: DateLike, upper: DateLike
 ) -> DataFrame | None:
     """Stored posts of a date range, dated by their partition so that it prunes."""
-    history = read_history(spark, path, lower, upper, STORED_DATE)
+    if is_published(spark, path):
+        first, last = f"{STORED_DATE}={parse_day(lower)}", f"{STORED_DATE}={parse_day(upper)}"
+        history = read_published(spark, path, lambda p: first <= p <= last)
+        if history is not None:
+            history = history.withColumn(STORED_DATE, F.col(STORED_DATE).cast("date"))
+    else:
+        history = read_history(spark, path, lower, upper, STORED_DATE)
     if history is None:
         return None
     return history.drop(POST_DATE).withColumnRenamed(STORED_DATE, POST_DATE)
 
 
-def write_stored_posts(merged: DataFrame, path: str) -> None:
-    replace_partitions(merged.withColumn(STORED_DATE, F.col(POST_DATE)), path, [STORED_DATE])
+def write_stored_posts(merged: DataFrame, path: str, published: bool = False) -> None:
+    """Replace the dates of ``merged``; all at once if the table is, or is to be, a published one."""
+    dated = merged.withColumn(STORED_DATE, F.col(POST_DATE))
+    if published or is_published(merged.sparkSession, path):
+        publish_partitions(dated, path, [STORED_DATE])
+    else:
+        replace_partitions(dated, path, [STORED_DATE])
+
+
+def read_merged_posts(spark: SparkSession, path: str) -> DataFrame | None:
+    """All stored posts, of a published table or of plain folders."""
+    return read_published(spark, path) if is_published(spark, path) else read_if_exists(spark, path)
 
 
 def merge_posts(
@@ -135,18 +153,52 @@ def merge_posts(
     format: str = "parquet",
     batch_size: int | None = None,
     dates_from: str = "posts",
+    published: bool = False,
 ) -> LeftOut:
     """Merge one day of deltas into the table partitioned by post date.
 
-    One job over all dates; only the partitions of processed dates are replaced.
-    Returns how many delta rows had no id and were left out.
+    One job over all dates; only the partitions of processed dates are replaced. With ``published``
+    the table is kept by manifest from the first merge on: a merge that dies leaves the old state
+    whole, and ``read_merged_posts`` reads it. Returns how many delta rows had no id and were left out.
     """
     configure(spark)
     upper = parse_day(exec_date)
     posts, metrics = read_deltas(spark, posts_path, metrics_path, upper, lower, format)
+    return _merge_stored(spark, posts, metrics, merged_path, lower, upper, batch_size, dates_from, published)
+
+
+def merge_posts_runs(
+    spark: SparkSession,
+    posts_path: str,
+    metrics_path: str,
+    merged_path: str,
+    ledger: str,
+    exec_date: DateLike,
+    lower: DateLike,
+    feeds: tuple[str, str] = ("posts", "metrics"),
+    dates_from: str = "posts",
+    published: bool = True,
+) -> LeftOut:
+    """``merge_posts`` over every run that no earlier day has merged, late ones and those of missed days included."""
+    configure(spark)
+    upper = parse_day(exec_date)
+    runs = [runs_to_merge(spark, ledger, feed, upper) for feed in feeds]
+    sides = [
+        read_runs(spark, base, some, ddl(fields))
+        for base, some, fields in zip((posts_path, metrics_path), runs, (POSTS_DELTA, METRICS_DELTA))
+    ]
+    left = _merge_stored(spark, *sides, merged_path, lower, upper, None, dates_from, published)
+    for feed, some in zip(feeds, runs):
+        record_merged(spark, ledger, feed, some, upper)
+    return left
+
+
+def _merge_stored(spark, posts, metrics, merged_path, lower, upper, batch_size, dates_from, published) -> LeftOut:
+    if published and not is_published(spark, merged_path) and read_if_exists(spark, merged_path) is not None:
+        raise ValueError(f"{merged_path} holds plain folders; publish them to a new path first")
     history = read_stored_posts(spark, merged_path, lower, upper)
     merged = merge_posts_metrics(posts, metrics, history, lower, upper, batch_size, dates_from)
-    write_stored_posts(merged, merged_path)
+    write_stored_posts(merged, merged_path, published)
     return LeftOut(without_id(posts), without_id(metrics))
 
 

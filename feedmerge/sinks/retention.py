@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from feedmerge.functions.dates import DateLike, parse_day
 from feedmerge.sources.files import child_names
+from feedmerge.sources.ledger import guarded_days
 
 
 def _day_of(name: str) -> dt.date | None:
@@ -27,17 +28,27 @@ def expired_names(names: list[str], lower: DateLike, upper: DateLike) -> list[st
 
 
 def remove_days(
-    spark: SparkSession, base: str, lower: DateLike, upper: DateLike, skip_trash: bool = True
+    spark: SparkSession,
+    base: str,
+    lower: DateLike,
+    upper: DateLike,
+    skip_trash: bool = True,
+    ledger: DataFrame | None = None,
 ) -> list[str]:
     """Delete the day folders below ``base`` from ``lower`` to ``upper``, inclusive.
 
     With ``skip_trash`` off they go to the file system's trash when it has one.
-    Returns the names removed.
+    Given the ``ledger`` of the feed's runs, days that hold a run no merge has taken stay, and so
+    do days it does not know; ``guarded_days`` names the reasons. Returns the names removed.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
     removed = expired_names(child_names(spark, base), lower, upper)
+    if ledger is not None:
+        # one row for each day of the range
+        free = {r.runday for r in guarded_days(ledger, lower, upper).where("reason is null").collect()}
+        removed = [n for n in removed if _day_of(n) in free]
     for name in removed:
         path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}")
         trashed = not skip_trash and jvm.org.apache.hadoop.fs.Trash.moveToAppropriateTrash(

@@ -43,15 +43,30 @@ def read_day(
     schema: str | None = None,
     format: str = "parquet",
 ) -> DataFrame:
-    """Every run of one day. Without a schema, parquet gives its own.
+    """Every finished run of one day. Without a schema, parquet gives its own.
 
-    Run folders may be named ``run=<instant>`` or by anything without a ``=``.
+    Run folders may be named ``run=<instant>`` or by anything without a ``=``. A folder
+    ``run=<instant>`` without ``_SUCCESS`` is being written or has failed, and is passed over; a day
+    that has only such folders is an error.
     """
     path = day_path(base, exec_date)
     reader = spark.read.format(format).option("basePath", path)
     if schema:
         reader = reader.schema(schema)
-    return reader.load(f"{path}/*").drop(RUN)
+    runs = finished_runs(spark, base, exec_date)
+    if not runs and any(n.startswith(f"{RUN}=") for n in child_names(spark, path)):
+        raise ValueError(f"no finished run below {path}")
+    return reader.load([f"{path}/{n}" for n in runs] or f"{path}/*").drop(RUN)
+
+
+def finished_runs(spark: SparkSession, base: str, exec_date: DateLike) -> list[str]:
+    """Names of a day's run folders, less the ``run=`` folders without ``_SUCCESS``; one listing a run."""
+    path = day_path(base, exec_date)
+    return [
+        n
+        for n in child_names(spark, path)
+        if n[0] not in "._" and (not n.startswith(f"{RUN}=") or "_SUCCESS" in child_names(spark, f"{path}/{n}"))
+    ]
 
 
 def near_days(df: DataFrame, lower: DateLike, upper: DateLike) -> DataFrame:
