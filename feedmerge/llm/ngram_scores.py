@@ -490,15 +490,16 @@ def score_documents(docs: DataFrame, shard: int = SHARD, chunk: int = CHUNK, hot
     parts = max(buckets.count, -(-rows // 2_000_000))
     word = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "seen")).alias("pos", "x")).select("chunk", "pos", F.col("x.words").alias("word"), F.col("x.seen").alias("seen"))
     word = word.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
-    in_part, same = Window.partitionBy("part").orderBy("word"), Window.partitionBy("part", "word").orderBy("chunk")
+    # both windows use one sort
+    in_part, same = Window.partitionBy("part").orderBy("word"), Window.partitionBy("part", "word")
     named = word.select(
         "chunk",
         "pos",
         "part",
         "seen",
         F.dense_rank().over(in_part).alias("rank"),
-        F.sum("seen").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("count"),
-        (F.row_number().over(same) == 1).alias("head"),
+        F.sum("seen").over(same).alias("count"),
+        (~F.lag("word").over(in_part).eqNullSafe(F.col("word"))).alias("head"),
     )
     number = F.col("part") + F.lit(parts) * (F.col("rank") - 1) + FIRST
     named = scratch.put(named.select("chunk", "pos", "seen", "count", "head", F.when(F.col("count") > 0, number).otherwise(F.lit(UNKNOWN)).alias("id")))
