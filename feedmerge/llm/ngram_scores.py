@@ -47,7 +47,7 @@ ADD = 0.1
 DISCOUNT = 0.75
 #: Occurrences from which sequences of two and three words are kept.
 LEAST = {2: 1, 3: 2}
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Tokens for each shard of a level.
 SHARD = 2_000_000
 HOT_SHARE = 4096
