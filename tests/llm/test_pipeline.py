@@ -107,3 +107,21 @@ def test_run_equals_the_stages(spark, stages):
     sf, out = stages
     got, want = corpus_pipeline.run(spark, sf), out[5]
     assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.collect())
+
+
+def test_stages_take_any_table(spark, sf, tmp_path):
+    rows = [(None, None, None, None), (None, "a b c", "en", "x"), (1, "", "en", "x"), (2, "one two three four five six", None, None), (2, "one two three four five six", None, None), (3, "one two three four five six", "de", "x"), (4, "word " * 30, "en", "x")]
+    clash = "toxicity double, n_words int, hit_spans string, target int, source_size long, kept string"
+    docs = spark.createDataFrame([(*r, 0.5, k, "h", k, k, "k") for k, r in enumerate(rows)], f"doc_id long, text string, lang string, source string, {clash}")
+    names = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, sf).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name in ("toxicity", "decontamination"):
+            assert docs.count() == (7 if name == "toxicity" else 5)
+        if k < 4:
+            assert docs.columns == names
+    assert {r.doc_id for r in docs.collect()} <= {None, 1, 2, 4}
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, toxicity double")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).collect() == []
