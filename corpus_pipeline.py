@@ -2,6 +2,10 @@
 
 Every stage takes what its predecessor kept and returns the columns of documents;
 the last returns where each document goes. Clean rows pass a filtering stage unchanged.
+
+Null texts are empty: they are neither toxic nor contaminated, have no near-duplicates, and the mixture
+repeats documents without words as often as whole passes over their source do. Null doc_ids are kept by every filter; of rows that repeat an id
+one stays. Extra columns go through all stages but the last, whatever their names are.
 """
 
 from __future__ import annotations
@@ -10,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmerge.llm import decontaminate, minhash_dedup, mixing, sharding, toxicity
-from feedmerge.llm.common import Scratch, table
+from feedmerge.llm.common import Scratch, aside, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the rejection threshold."""
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    hidden, back = aside(docs, "doc_id", "text")
+    return back(toxicity.score_toxicity(hidden, model).where(F.col("toxicity") < toxicity.THRESHOLD))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +36,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not cover up to the limit."""
-    marked = decontaminate.mark_spans(docs, table(spark, sf_dir, "benchmark"))
-    return decontaminate.verdict(marked).where("not contaminated").select(*docs.columns)
+    hidden, back = aside(docs, "doc_id", "text")
+    marked = decontaminate.mark_spans(hidden, table(spark, sf_dir, "benchmark"))
+    return back(decontaminate.verdict(marked).where("not contaminated"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
