@@ -36,8 +36,12 @@ def manifest_numbers(spark: SparkSession, path: str) -> list[int]:
 
 def read_manifest(spark: SparkSession, path: str, number: int) -> Manifest:
     """Partition (as ``column=value/...``, '' if there is none) to its versions, oldest first."""
-    lines = spark.read.text(f"{path.rstrip('/')}/{MANIFESTS}/{number:020d}", wholetext=True)
-    return json.loads(lines.first()[0])
+    jvm, target, fs = _fs(spark, f"{path.rstrip('/')}/{MANIFESTS}/{number:020d}")
+    stream = fs.open(target)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def is_published(spark: SparkSession, path: str) -> bool:
@@ -99,7 +103,8 @@ def publish_changes(df: DataFrame, path: str) -> int:
     """Add the rows to a table without partitions; returns how many versions it holds now."""
     spark = df.sparkSession
     number, manifest = current(spark, path)
-    version, touched = write_version(df, path, [])
+    # a frame of newest rows is spread by its key already
+    version, touched = write_version(df, path, [], rebalance=False)
     held = manifest.get("", [])
     if touched:
         held = [*held, version]
