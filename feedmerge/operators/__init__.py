@@ -28,6 +28,7 @@ from feedmerge.operators.offsets import (
 from feedmerge.operators.overlay import merge_history, overlay_history, overlay_once
 from feedmerge.operators.retention import expired, kept
 from feedmerge.operators.snapshot import latest_accounts, merge_accounts, union_by_name
+from feedmerge.operators.widen import widen, widest
 
 __all__ = [
     "islands",
@@ -60,4 +61,6 @@ __all__ = [
     "suffix_collisions",
     "topic_ids",
     "union_by_name",
+    "widen",
+    "widest",
 ]
