@@ -318,6 +318,14 @@ SQL: dict[str, str] = {
     "scan_history_partitions": f"""with {delta()}, {history()}
     {show_merged(f'(select * from hist where {PROCESSED})')}""",
     "scan_csv": f"select * {text_time('currenttimestamp')} from ({metrics(ALL)}) where comments is not null",
+    "scan_evolved_schema": """with e as (select *, case when ts < timestamp '2024-01-18' then 1
+        when ts < timestamp '2024-01-19' then 2 else 3 end run from events)
+    select event_id id, case run when 1 then floor(value) when 2 then floor(value) + 0.5 end amount,
+      case when run = 3 then 'c' || (user_id % 7) else cast(user_id % 7 as varchar) end code,
+      case when run = 3 then 'u' || user_id else cast(user_id as varchar) end user_id,
+      case when run = 2 then event_type end kind,
+      case run when 1 then (user_id % 3) || ',' || (event_id % 5) when 2 then cast(user_id % 3 as varchar) else event_type end tags,
+      case when run = 3 then user_id % 2 = 0 end even, event_id kafkaoffset from e""",
     # decoding
     "decode_json": DECODED_POSTS,
     "json_infer_schema": DECODED_POSTS,
@@ -398,6 +406,9 @@ SQL: dict[str, str] = {
     "sink_partitioned": f"""select * exclude (day_), strftime(day_, '%Y-%m-%d') postdate
       from (select * {text_time('partdate', 'currenttimestamp')},
         cast(partdate as date) day_ from ({posts(ALL)}))""",
+    "sink_clustered": f"""select * exclude (day_), strftime(day_, '%Y-%m-%d') postdate
+      from (select * {text_time('partdate', 'currenttimestamp')},
+        cast(partdate as date) day_ from ({posts(ALL)}))""",
     "sink_snapshot": every_account(SNAPSHOT_DATE),
     "merge_posts_bucketed": REPLACED,
     "replace_partitions": REPLACED,
@@ -408,6 +419,8 @@ SQL: dict[str, str] = {
     "merge_blogs_after_gap": f"""select * replace (
       case when execdate = '2024-01-17' then '20240117' else mergedate end as mergedate)
       from ({every_account("2024-01-19", "execdate in ('2024-01-17', '2024-01-18', '2024-01-19')")})""",
+    "merge_blogs_layers": f"""select * replace (replace(execdate, '-', '') as mergedate)
+      from ({every_account(EXEC_DATE, f"execdate between '2024-01-17' and '{EXEC_DATE}'")})""",
     "merge_late_runs": f"""select * replace (case
       when kafkaoffset % 3 <> 0 and execdate = '2024-01-17' then '20240117'
       when execdate = '2024-01-19' and kafkaoffset % 3 = 0 or execdate = '2024-01-20' then '20240120'

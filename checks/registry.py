@@ -25,6 +25,7 @@ from feedmerge.plans.merge_posts import (
     read_stored_posts,
     write_stored_posts,
 )
+from feedmerge.plans.snapshots import merge_blogs_incremental, read_accounts_of_day
 from feedmerge.schemas import (
     MERGED_POSTS,
     METRICS_DELTA,
@@ -39,12 +40,13 @@ from feedmerge.sinks import (
     append_offsets,
     replace_partitions,
     run_path,
+    write_clustered,
     write_run,
     write_snapshot,
 )
 from feedmerge.sinks.retention import remove_days
 from feedmerge.sinks.tables import replace_table_days
-from feedmerge.sources import files, ledger, log
+from feedmerge.sources import evolution, files, ledger, log
 from feedmerge.streaming import (
     read_accounts,
     read_upserted_posts,
@@ -147,6 +149,28 @@ def scan_csv(spark, sf):
     return files.read_csv(spark, path, ddl(METRICS_DELTA), required=["comments"])
 
 
+DRIFT = {
+    "2024-01-17": "to_json(struct(event_id id, cast(floor(value) as bigint) amount, user_id % 7 code, struct(user_id id) user, array(user_id % 3, event_id % 5) tags))",
+    "2024-01-18": "to_json(struct(event_id id, cast(floor(value) as bigint) + 0.5D amount, user_id % 7 code, struct(user_id id, event_type kind) user, array(user_id % 3) tags))",
+    "2024-01-19": "to_json(struct(event_id id, concat('c', user_id % 7) code, struct(concat('u', user_id) id) user, array(event_type) tags, user_id % 2 = 0 even))",
+}
+
+
+@query
+def scan_evolved_schema(spark, sf):
+    """Days up to 17, the 18th and those from the 19th on write other types, each as its messages infer them."""
+    base = scratch_dir(spark, "drift")
+    days = F.least(F.greatest(F.date_format("ts", "yyyy-MM-dd"), F.lit(min(DRIFT))), F.lit(max(DRIFT)))
+    for day, message in DRIFT.items():
+        sent = feeds.events(spark, sf).where(days == F.lit(day))
+        sent = sent.select(F.expr(message).alias("value"), F.expr("cast(user_id % 16 as int)").alias("partition"), F.col("event_id").alias("offset"))
+        rows = op.decode_json(sent, op.infer_json_schema(sent))
+        evolution.register_schema(spark, base, rows.schema)
+        write_run(rows, run_path(base, day, RUN_AT))
+    read = evolution.read_evolved(spark, base, list(DRIFT))
+    return read.select("id", "amount", "code", F.col("user.id").alias("user_id"), F.col("user.kind").alias("kind"), "tags", "even", "kafkaoffset")
+
+
 # Decoding
 
 
@@ -434,6 +458,13 @@ def sink_partitioned(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def sink_clustered(spark, sf):
+    path = scratch_dir(spark, "run")
+    write_clustered(feeds.posts(spark, sf, None), path, "id", files=16, day_of=plans.POSTS.day_of)
+    return spark.read.parquet(path)
+
+
 @query
 def sink_snapshot(spark, sf):
     base = scratch_dir(spark, "snapshot")
@@ -530,6 +561,16 @@ def merge_blogs_after_gap(spark, sf):
     return spark.read.parquet(plans.merge_blogs(spark, f"{base}/blogs", f"{base}/merged", days[-1]))
 
 
+@query
+def merge_blogs_layers(spark, sf):
+    """Four days one after the other; buckets are rewritten at the third layer."""
+    base, rows = scratch_dir(spark, "layers"), feeds.blogs(spark, sf, None)
+    for day in ("2024-01-17", "2024-01-18", "2024-01-19", EXEC_DATE):
+        write_run(rows.where(F.col("execdate") == day), run_path(f"{base}/blogs", day, RUN_AT))
+        merge_blogs_incremental(spark, f"{base}/blogs", f"{base}/accounts", day, buckets=16, layers=2)
+    return read_accounts_of_day(spark, f"{base}/accounts", EXEC_DATE)
+
+
 LATE_DAYS = ["2024-01-17", "2024-01-18", "2024-01-19"]
 
 

@@ -2,6 +2,7 @@ from feedmerge.sinks.files import (
     append_offsets,
     replace_partitions,
     run_path,
+    write_clustered,
     write_run,
     write_snapshot,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "replace_partitions",
     "vacuum",
     "run_path",
+    "write_clustered",
     "write_run",
     "write_snapshot",
 ]

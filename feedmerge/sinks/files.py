@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmerge.functions.dates import DateLike, as_date
+from feedmerge.operators.latest import LOG_POSITION
 from feedmerge.sources.files import FOLDER_DAY, RUN, day_path
 
 
@@ -34,6 +35,39 @@ def write_run(
     dated.write.mode("overwrite").partitionBy(day).parquet(path)
 
 
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    key: str,
+    files: int,
+    day_of: str | None = None,
+    tie: Sequence[str] = LOG_POSITION,
+    block_bytes: int | None = None,
+    day: str = FOLDER_DAY,
+) -> None:
+    """Write one run sorted by key, so that a look-up of few keys reads few row groups.
+
+    Rows are dealt to ``files`` tasks by ranges of day, key and ``tie``, so a file holds a narrow
+    range of keys; the tie splits a key that has many rows, which then lie in files next to
+    each other. Row groups carry the range of the key and a Bloom filter of it, which tells
+    of a key inside the range that it is not there. ``block_bytes`` is the size of a row group.
+    Dealing by range samples the rows first, so they are computed twice.
+    """
+    dated = df if day_of is None else df.withColumn(day, as_date(day_of))
+    folders = [] if day_of is None else [day]
+    ties = [c for c in tie if c in df.columns and c != key]
+    order = [*folders, key, *ties]
+    writer = (
+        dated.repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
+        .write.mode("overwrite")
+        .option(f"parquet.bloom.filter.enabled#{key}", True)
+    )
+    if block_bytes is not None:
+        writer = writer.option("parquet.block.size", block_bytes)
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
+
+
 def append_offsets(offsets: DataFrame, path: str, first_run: bool = False) -> None:
     offsets.write.mode("overwrite" if first_run else "append").parquet(path)
 
