@@ -6,13 +6,15 @@ words. A word's probability under a language is the sum over its segmentations,
 found by the forward algorithm, and a text is scored by the product over all its
 words. The prediction is the language with the highest posterior.
 
-Words are runs of letters, lower case, each with a leading space; words of more
-than ``CHUNK`` bytes are scored in chunks, so whole texts count. A text that is
+Words are runs of letters, lower case, each with a leading space. All pieces of the
+vocabulary take part and no word is cut when it is scored: long words, as scripts without
+spaces have them, are summed in a window that rolls over them. A text that is
 null or has no letter is ``und`` with score 0. Ties go to the first language in
 code point order. With no language to learn from everything is ``und``.
 
 Every language of the training fold is learned, each by itself from about ``per_language`` of
-its documents, and of them the ``FIT_WORDS`` most frequent word forms. Scoring reads every whole text;
+its documents, and of them the ``FIT_WORDS`` most frequent word forms, in parts of at most
+``FIT_BYTES`` bytes. Scoring reads every whole text;
 it knows ``SLICE`` languages at a time, and with more of them the texts are read once for each slice.
 Repeated rows count in the sample as often as they stand there.
 """
@@ -29,16 +31,26 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedmerge.session import broadcast_within
+
 from .common import Scratch, WordCache, held_out, with_columns
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PER_LANGUAGE = 400
 #: Languages that one pass over the texts scores, so that what a task holds is bounded.
 SLICE = 64
+#: With more languages the sample is drawn by a shuffle join in place of a broadcast.
+MOST_LANGUAGES = 100_000
 #: Largest vocabulary file, as its pieces go to every task.
 MOST_BYTES = 16 << 20
-MAX_PIECE = 8
-CHUNK = 32
+#: The fit reads longer words in parts of this size; scores never cut a word.
+FIT_BYTES = 64
+#: Longer words are summed in a rolling window that is rescaled as it goes.
+LONG = 64
+#: Bytes of a long word whose pieces are looked up at once.
+BLOCK = 1 << 15
+#: Cells of the lattice held at once.
+CELLS = 1 << 22
 ROUNDS = 3
 SMOOTH = 0.1
 #: Factor for each byte that keeps products of piece probabilities in range.
@@ -62,7 +74,7 @@ STEP = np.uint64(0x100000001B3)
 
 
 def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
-    """Pieces of at most ``MAX_PIECE`` bytes of a rank file, and every single byte.
+    """All pieces of a rank file, and every single byte.
 
     The file is read on the driver, where the path is; its size is checked, as
     the pieces travel with the tasks.
@@ -74,12 +86,11 @@ def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
     lines = data.splitlines()
     pieces = {base64.b64decode(line.split()[0]) for line in lines if line.strip()}
     singles = {bytes([b]) for b in range(256)}
-    return sorted({p for p in pieces if 0 < len(p) <= MAX_PIECE} | singles)
+    return sorted({p for p in pieces if p} | singles)
 
 
-def chunks(word: str) -> list[bytes]:
-    data = b" " + word.encode("utf-8", "surrogatepass")
-    return [data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]
+def encoded(word: str) -> bytes:
+    return b" " + word.encode("utf-8", "surrogatepass")
 
 
 class Segmenter:
@@ -88,9 +99,10 @@ class Segmenter:
     def __init__(self, pieces: list[bytes]):
         self.pieces = pieces
         self.lengths = np.array([0] + [len(p) for p in pieces])
+        self.longest = int(self.lengths.max())
         self.by_length = []
-        for n in range(1, MAX_PIECE + 1):
-            ids = np.array([i + 1 for i, p in enumerate(pieces) if len(p) == n], np.int32)
+        for n in range(1, self.longest + 1):
+            ids = np.flatnonzero(self.lengths == n).astype(np.int32)
             rows = np.frombuffer(b"".join(pieces[i - 1] for i in ids), np.uint8).reshape(-1, n)
             key = self._hash(rows)[:, 0] if len(ids) else np.zeros(0, np.uint64)
             order = np.argsort(key)
@@ -110,9 +122,10 @@ class Segmenter:
     def lattice(self, rows: np.ndarray) -> np.ndarray:
         """ids[w, i, n-1]: the piece of n bytes at byte i of word w, 0 if there is none."""
         n, width = rows.shape
-        found = np.zeros((n, width, MAX_PIECE), np.int32)
+        most = min(self.longest, width)
+        found = np.zeros((n, width, most), np.int32)
         h = np.zeros((n, width), np.uint64)
-        for size in range(1, min(MAX_PIECE, width) + 1):
+        for size in range(1, most + 1):
             last = width - size + 1
             h = self._extend(h[:, :last], rows[:, size - 1 :])
             keys, ids = self.by_length[size - 1]
@@ -122,17 +135,50 @@ class Segmenter:
             found[:, :last, size - 1] = np.where(keys[at] == h, ids[at], 0)
         return found
 
-    def groups(self, words: list[bytes], most: int = 20_000):
-        """Words of one length at a time: their positions and their lattice."""
+    def groups(self, words: list[bytes]):
+        """Words of one length at a time: their positions and their bytes, a row a word."""
         length = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(length, kind="stable")
         cuts = np.flatnonzero(np.diff(length[order])) + 1
         for part in np.split(order, cuts):
+            if not len(part):
+                continue
+            width = int(length[part[0]])
+            most = max(1, CELLS // (min(width, BLOCK) * min(width, self.longest)))
             for i in range(0, len(part), most):
                 some = part[i : i + most]
-                if len(some):
-                    data = np.frombuffer(b"".join(words[j] for j in some), np.uint8)
-                    yield some, self.lattice(data.reshape(len(some), -1))
+                data = np.frombuffer(b"".join(words[j] for j in some), np.uint8)
+                yield some, data.reshape(len(some), width)
+
+    def log_sums(self, rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Log of the summed probability of all segmentations of each word, as ``table`` is lifted."""
+        if rows.shape[1] <= LONG:
+            with np.errstate(divide="ignore"):
+                return np.log(forward(self.lattice(rows), table)[:, -1])
+        return self._rolled(rows, table)
+
+    def _rolled(self, rows: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """``log_sums`` of words of any length: sums are kept for as many bytes as a piece has."""
+        n, width = rows.shape
+        slots = self.longest + 1
+        ring = np.zeros((slots, n, table.shape[1]))
+        ring[0] = 1
+        logs = np.zeros((n, table.shape[1]))
+        for start in range(0, width, BLOCK):
+            ids = self.lattice(rows[:, start : start + BLOCK + self.longest - 1])[:, :BLOCK]
+            sizes = [np.flatnonzero(k) + 1 for k in ids.any(axis=0)]
+            for j, some in enumerate(sizes):
+                i = start + j
+                here = ring[i % slots]
+                for size in some:
+                    # row 0 of the table is 0: words without such a piece add nothing
+                    ring[(i + size) % slots] += here * table[ids[:, j, size - 1]]
+                here[:] = 0
+                if i % LONG == LONG - 1:
+                    top = ring.max(axis=0)
+                    ring /= top
+                    logs += np.log(top)
+        return logs + np.log(ring[width % slots])
 
 
 def forward(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -141,7 +187,7 @@ def forward(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
     alpha = np.zeros((n, width + 1, table.shape[1]))
     alpha[:, 0] = 1
     for i in range(1, width + 1):
-        for size in range(1, min(MAX_PIECE, i) + 1):
+        for size in range(1, min(ids.shape[2], i) + 1):
             piece = ids[:, i - size, size - 1]
             hit = np.flatnonzero(piece)
             if 2 * len(hit) > n:
@@ -156,7 +202,7 @@ def backward(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
     beta = np.zeros((n, width + 1, table.shape[1]))
     beta[:, width] = 1
     for i in range(width - 1, -1, -1):
-        for size in range(1, min(MAX_PIECE, width - i) + 1):
+        for size in range(1, min(ids.shape[2], width - i) + 1):
             piece = ids[:, i, size - 1]
             hit = np.flatnonzero(piece)
             if len(hit):
@@ -180,8 +226,10 @@ def fit_local(counts: dict[str, np.ndarray], seg: Segmenter, n_languages: int) -
     """Piece probabilities by expectation maximisation. counts: word -> its count by language."""
     total: dict[bytes, np.ndarray] = {}
     for word, seen in counts.items():
-        for chunk in chunks(word):
-            total[chunk] = total[chunk] + seen if chunk in total else seen
+        data = encoded(word)
+        for i in range(0, len(data), FIT_BYTES):
+            part = data[i : i + FIT_BYTES]
+            total[part] = total[part] + seen if part in total else seen
     words = sorted(total, key=lambda w: (-total[w].sum(), w))[:FIT_WORDS]
     weight = np.array([total[w] for w in words]).reshape(len(words), n_languages)
     n = len(seg.lengths)
@@ -192,10 +240,11 @@ def fit_local(counts: dict[str, np.ndarray], seg: Segmenter, n_languages: int) -
     for _ in range(ROUNDS):
         expected = np.zeros((n, n_languages))
         table = lifted(p, seg)
-        for some, ids in seg.groups(words):
+        for some, rows in seg.groups(words):
+            ids = seg.lattice(rows)
             alpha, beta = forward(ids, table), backward(ids, table)
             scale = weight[some] / alpha[:, -1]
-            for size in range(1, min(MAX_PIECE, ids.shape[1]) + 1):
+            for size in range(1, ids.shape[2] + 1):
                 for i in range(ids.shape[1] - size + 1):
                     piece = ids[:, i, size - 1]
                     hit = np.flatnonzero(piece)
@@ -222,8 +271,8 @@ def fit_languages(
     placed = train.select("lang", "text", position.alias("_at"))
     # a language whose few ids all lie high is read from its lowest on
     seen = placed.groupBy("lang").agg(F.greatest(F.lit(per_language) / F.count(F.lit(1)), F.min("_at") + F.lit(1e-9)).alias("_share"))
-    # a row for each language; joined before any shuffle, so that only the sample is grouped
-    sample = placed.join(F.broadcast(seen), "lang").where("_at < _share").select("lang", "text")
+    # a row for each language, sent to all tasks while they are few, so that only the sample is grouped
+    sample = placed.join(broadcast_within(seen, MOST_LANGUAGES), "lang").where("_at < _share").select("lang", "text")
     pieces = read_vocabulary(vocabulary)
 
     def run(pdf):
@@ -251,18 +300,10 @@ def word_scores(seg: Segmenter, logp: np.ndarray):
     table = lifted(np.exp(logp), seg)
 
     def compute(words: list[str]) -> np.ndarray:
-        flat = [b" " + w.encode("utf-8", "surrogatepass") for w in words]
-        parts = None
-        if flat and max(map(len, flat)) > CHUNK:
-            parts = [chunks(w) for w in words]
-            flat = [c for p in parts for c in p]
-        out = np.zeros((len(flat), table.shape[1]))
-        for some, ids in seg.groups(flat):
-            out[some] = np.log(forward(ids, table)[:, -1]) - ids.shape[1] * np.log(LIFT)
-        if parts is None:
-            return out
-        starts = np.cumsum([0] + [len(p) for p in parts[:-1]])
-        return np.add.reduceat(out, starts, axis=0)
+        out = np.zeros((len(words), table.shape[1]))
+        for some, rows in seg.groups([encoded(w) for w in words]):
+            out[some] = seg.log_sums(rows, table) - rows.shape[1] * np.log(LIFT)
+        return out
 
     return compute
 

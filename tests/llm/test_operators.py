@@ -532,6 +532,40 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(np.exp(row), [brute(word, k) for k in (0, 1)])
 
 
+def test_long_words_are_summed_over_all_segmentations(monkeypatch):
+    """Against a plain sum in logs, with pieces that reach over every cut a window could make."""
+    rng = random.Random(19)
+    pieces = sorted({bytes(rng.choices(b"ab", k=n)) for n in (2, 3, 5, 8, 13, 21, 33) for _ in range(12)} | {bytes([i]) for i in range(256)})
+    seg = langid.Segmenter(pieces)
+    p = np.random.default_rng(3).random((len(pieces) + 1, 2))
+    p[0] = 0
+    p /= p.sum(axis=0)
+    index = {x: i + 1 for i, x in enumerate(pieces)}
+
+    def plain(word, k):
+        data, logs = langid.encoded(word), [0.0]
+        for i in range(1, len(data) + 1):
+            terms = [logs[i - n] + np.log(p[index[data[i - n : i]], k]) for n in range(1, min(33, i) + 1) if data[i - n : i] in index]
+            logs.append(np.logaddexp.reduce(terms))
+        return logs[-1]
+
+    words = ["".join(rng.choices("ab", k=n)) for n in (1, 40, 62, 63, 64, 65, 64, 200, 200, 3000)]
+    for block in (langid.BLOCK, 50, 128):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        with np.errstate(divide="ignore"):
+            got = langid.word_scores(seg, np.log(p))(words)
+        assert np.allclose(got, [[plain(w, k) for k in (0, 1)] for w in words], rtol=1e-9)
+
+
+def test_all_pieces_of_the_vocabulary_take_part():
+    pieces = langid.read_vocabulary()
+    assert max(map(len, pieces)) > 20 and len(pieces) > 50_000
+    long = max((p for p in pieces if p.startswith(b" ") and p[1:].isalpha()), key=len)
+    seg = langid.Segmenter(pieces)
+    ids = seg.lattice(np.frombuffer(long, np.uint8).reshape(1, -1))
+    assert pieces[ids[0, 0, len(long) - 1] - 1] == long
+
+
 def test_long_words_are_scored_whole():
     seg = langid.Segmenter(langid.read_vocabulary())
     p = np.full((len(seg.lengths), 2), 1e-4)
