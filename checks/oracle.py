@@ -411,6 +411,7 @@ SQL: dict[str, str] = {
         cast(partdate as date) day_ from ({posts(ALL)}))""",
     "sink_snapshot": every_account(SNAPSHOT_DATE),
     "merge_posts_bucketed": REPLACED,
+    "merge_posts_by_parts": REPLACED,
     "replace_partitions": REPLACED,
     # pipelines
     "ingest_posts": ingested(posts(ALL), "id"),
