@@ -20,6 +20,11 @@ texts, inside articles too. A page whose texts are all constant keeps them. Char
 space, blocks are trimmed and joined with line feeds in page order; nothing else is
 dropped.
 
+A host of more than ``TOGETHER`` shapes is aligned in rounds, as many tasks at once as it takes: shapes that share
+the smallest hash of their labels meet, at most about ``TOGETHER`` in a task, and the templates that come out meet again
+under another hash, until a round merges less than ``SHRINK`` of them. Each round is linear in
+the shapes. What rounds leave apart are layouts of their own.
+
 The wrapper is fitted on all pages of a host, whatever their size and depth, and each page counts once
 however often it is repeated. A host of fewer than ``LEAST_PAGES`` distinct pages has no wrapper, nor has a layout with fewer.
 Every page is extracted whole. Null and empty
@@ -35,6 +40,7 @@ import html
 import json
 import re
 import sys
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +53,9 @@ CONSTANT = 0.6
 CONTENT = 0.7
 #: Share of matched nodes from which a page is of a template's layout.
 ALIKE = 0.8
+#: Shapes that one task aligns, and the share of templates that a round has to merge for another one.
+TOGETHER = 128
+SHRINK = 0.05
 
 # Element names of the HTML standard by how they are parsed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -397,33 +406,60 @@ def size_of(root) -> tuple[int, int]:
     return n, outer
 
 
+def labels_of(root) -> Counter:
+    found, todo = Counter(), [root]
+    while todo:
+        x = todo.pop()
+        found[x.label] += 1
+        todo += x.children
+    return found
+
+
 def templates(shapes: list[tuple[str, int]]) -> list[list]:
     """[template, pages] of each layout: skeletons aligned to the template they match best."""
     out: list[list] = []
+    # labels of each template, how many nodes it has and how many of them every page has
+    known: list[tuple[Counter, int, int]] = []
     for skeleton, pages in sorted(shapes, key=lambda s: (-s[1], s[0])):
         node = tree(skeleton)
-        size, outer = size_of(node)
+        labels, (size, outer) = labels_of(node), size_of(node)
         # a chain of one element in another is matched in one call below another
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 3 * size + 1000))
         found, near = None, ALIKE
-        for layout in out:
+        for i, layout in enumerate(out):
+            theirs, whole, common = known[i]
+            # against the smaller of the two, as a template holds what only some pages have
+            least = min(size - outer, whole - common)
+            alike_at = lambda n: (n - min(outer, common)) / least if least else float(size - outer == whole - common)  # noqa: E731, B023
+            # no more nodes match than have a label in common
+            if alike_at((theirs & labels).total()) <= near:
+                continue
             memo: dict = {"shapes": {}, "pairs": {}, "of_slot": {}, "of_node": {}}
             _shapes(layout[0], lambda s: s.children, memo["of_slot"], memo["shapes"])
             _shapes(node, elements, memo["of_node"], memo["shapes"])
-            # against the smaller of the two, as a template holds what only some pages have
-            whole, common = size_of(layout[0])
-            least = min(size - outer, whole - common)
-            alike = (matching(layout[0], node, memo) - min(outer, common)) / least if least else float(size - outer == whole - common)
+            alike = alike_at(matching(layout[0], node, memo))
             if alike > near:
-                found, near, used = layout, alike, memo
-        if found:
-            align(found[0], node, used)
-            found[1] += pages
-        else:
+                found, near, used = i, alike, memo
+        if found is None:
             out.append([Slot.of(node), pages])
+            known.append((labels, size, outer))
+        else:
+            align(out[found][0], node, used)
+            out[found][1] += pages
+            known[found] = (labels_of(out[found][0]), *size_of(out[found][0]))
     return out
 
 
+def flat(root: Slot) -> str:
+    """A template as JSON: parent and label of its slots, parents first."""
+    out, todo = [], [(root, -1)]
+    while todo:
+        slot, up = todo.pop()
+        out.append([up, slot.label])
+        todo += [(c, len(out) - 1) for c in reversed(slot.children)]
+    return json.dumps(out, separators=(",", ":"))
+
+
 def place_of(template: Slot, pages: int, homes: dict[int, tuple[int, int]]) -> int | None:
     """The place of a layout whose slots hold most of the varying text.
 
@@ -454,8 +490,8 @@ def place_of(template: Slot, pages: int, homes: dict[int, tuple[int, int]]) -> i
     return None if kind[place] in OUTERMOST else place
 
 
-def wrapper_of(shapes: list[tuple[str, int]], facts: list[tuple[int, int, int, int, int]]) -> dict:
-    """The wrapper from the shapes and from (path, key, home, chars, pages) of a host's pages."""
+def wrapper_of(layouts: list[tuple[Slot, int]], facts: list[tuple[int, int, int, int, int]]) -> dict:
+    """The wrapper from the layouts and from (path, key, home, chars, pages) of a host's pages."""
     holders = {path: n for path, key, _, _, n in facts if not key}
     constant = set()
     homes: dict[int, tuple[int, int]] = {}
@@ -466,7 +502,7 @@ def wrapper_of(shapes: list[tuple[str, int]], facts: list[tuple[int, int, int, i
         if fixed or not key:
             sum_, most = homes.get(home, (0, 0))
             homes[home] = (sum_ - chars, most) if key else (sum_ + chars, max(most, n))
-    places = [place_of(t, n, homes) for t, n in templates(shapes) if n >= LEAST_PAGES]
+    places = [place_of(t, n, homes) for t, n in layouts if n >= LEAST_PAGES]
     return {"constant": sorted(constant), "content": sorted({p for p in places if p is not None})}
 
 
@@ -481,7 +517,7 @@ def induce(pages: list[str]) -> dict:
             fact = facts.setdefault((path, key), [home, 0, 0])
             fact[1] += chars
             fact[2] += 1
-    return wrapper_of(list(shapes.items()), [(*k, *v) for k, v in facts.items()])
+    return wrapper_of(templates(list(shapes.items())), [(*k, *v) for k, v in facts.items()])
 
 
 def extract(page: str | None, constant: frozenset[int] = frozenset(), places: frozenset[int] = frozenset()) -> str:
@@ -578,6 +614,53 @@ def page_facts(pages: DataFrame) -> DataFrame:
     return hosted.select("_host", "html", F.xxhash64("html").alias("page")).mapInArrow(run, FACT)
 
 
+LAYOUT = "_host string, skeleton string, n bigint"
+
+
+def aligned(shapes: DataFrame, *group: str) -> DataFrame:
+    """The templates of the shapes of each group, as skeletons with the pages that have them."""
+
+    def run(pdf):
+        import pandas as pd
+
+        found = templates(list(zip(pdf["skeleton"], pdf["n"].tolist())))
+        return pd.DataFrame({"_host": pdf["_host"].iloc[0], "skeleton": [flat(t) for t, _ in found], "n": [n for _, n in found]})
+
+    return shapes.groupBy(*group).applyInPandas(run, LAYOUT)
+
+
+def signed(shapes: DataFrame, seed: int) -> DataFrame:
+    """``shapes`` with _sign, the smallest hash of a label: shapes agree in it as often as in their labels."""
+
+    def run(frames):
+        for pdf in frames:
+            least = [min(step(seed, label) for label in {x[1] for x in json.loads(s)}) for s in pdf["skeleton"]]
+            yield pdf.assign(_sign=least)
+
+    return shapes.mapInPandas(run, LAYOUT + ", _sign bigint")
+
+
+def layouts_of(shapes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(_host, skeleton, n): the layouts of every host from its shapes, in tasks of at most about ``TOGETHER``."""
+    shapes = scratch.put(shapes)
+    sizes = shapes.groupBy("_host").agg(F.count(F.lit(1)).alias("_k"))
+    large = scratch.put(sizes.where(F.col("_k") > TOGETHER))
+    few = aligned(shapes.join(large, "_host", "left_anti"), "_host")
+    rest = scratch.put(shapes.join(large, "_host", "left_semi"))
+    count, seed = rest.count(), 0
+    while count:
+        seed += 1
+        dealt = scratch.put(signed(rest, seed))
+        held = dealt.groupBy("_host", "_sign").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("_parts"))
+        part = F.pmod(F.xxhash64("skeleton", F.lit(seed)), F.col("_parts")).alias("_part")
+        spread = dealt.join(held, ["_host", "_sign"]).select("_host", "skeleton", "n", "_sign", part)
+        rest = scratch.put(aligned(spread, "_host", "_sign", "_part"))
+        before, count = count, rest.count()
+        if count > (1 - SHRINK) * before:
+            break
+    return few.unionByName(rest)
+
+
 def fit_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(_host, wrapper): the wrapper of every host as JSON, from all its distinct pages."""
     facts = scratch.put(page_facts(pages))
@@ -588,16 +671,20 @@ def fit_wrappers(pages: DataFrame, scratch: Scratch) -> DataFrame:
     holders = counted.where("key = 0").select("_host", "path", F.col("n").alias("of"))
     constant = counted.where("key not in (0, 1)").join(holders, ["_host", "path"]).where(F.col("n") >= F.lit(CONSTANT) * F.col("of")).drop("of")
     skeletons = facts.where("skeleton is not null").groupBy("_host", "path").agg(F.min("skeleton").alias("skeleton"))
-    shapes = counted.where("key = 1").join(skeletons, ["_host", "path"])
-    known = shapes.unionByName(counted.where("key = 0").unionByName(constant), allowMissingColumns=True)
+    shapes = counted.where("key = 1").join(skeletons, ["_host", "path"]).select("_host", "skeleton", "n")
+    layouts = layouts_of(shapes, scratch).where(F.col("n") >= LEAST_PAGES)
+    # no null among the numbers, which pandas would turn into doubles
+    layouts = layouts.withColumns({c: F.lit(v).cast("long") for c, v in (("path", 0), ("key", 1), ("home", 0), ("chars", 0))})
+    # a host without a layout of enough pages gets an empty wrapper from its facts
+    known = layouts.unionByName(counted.where("key = 0").unionByName(constant), allowMissingColumns=True)
 
     def run(pdf):
         import pandas as pd
 
-        of_shape = pdf["key"] == 1
-        shapes = list(zip(pdf["skeleton"][of_shape], pdf["n"][of_shape].tolist()))
-        rows = pdf[~of_shape]
-        wrapper = wrapper_of(shapes, list(zip(*(rows[c].tolist() for c in ("path", "key", "home", "chars", "n")))))
+        of_layout = pdf["key"] == 1
+        layouts = [(Slot.of(tree(s)), n) for s, n in zip(pdf["skeleton"][of_layout], pdf["n"][of_layout].tolist())]
+        rows = pdf[~of_layout]
+        wrapper = wrapper_of(layouts, list(zip(*(rows[c].tolist() for c in ("path", "key", "home", "chars", "n")))))
         return pd.DataFrame({"_host": [pdf["_host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
 
     return known.groupBy("_host").applyInPandas(run, "_host string, wrapper string")

@@ -367,6 +367,42 @@ def test_wrapper_counts_copies_once_over_all_pages(spark):
     assert len(got["h"]["constant"]) == 2 and len(got["h"]["content"]) == 2
 
 
+def test_wrapper_of_a_host_of_many_shapes(spark):
+    rng = random.Random(18)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(n))
+    name = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, want = [], {}
+    for i in range(600):
+        text = prose(40)
+        extras = "".join(f"<section><div class='{name()}'>{prose(1)}</div></section>" for _ in range(1))
+        # every page has class names of its own, so each is a shape
+        kind = "<table><section><div>The menu</div></section></table>" if i % 2 else "<dl><div><div>Another menu</div></div></dl>"
+        body = f"<div class='story'><div class='a'><div class='b'><div class='c'><p>{text}</p></div></div></div></div>"
+        rows.append((i, "http://h/a", f"<body>{kind}{body}{extras}</body>"))
+        want[i] = text
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.main_text(table).collect()}
+    assert got == want
+
+
+def test_templates_pass_over_unlike_layouts_exactly():
+    rng = random.Random(19)
+    tree = lambda d: [rng.choice("abc")] + [tree(d - 1) for _ in range(rng.randint(0, 3) if d else 0)]
+
+    def rows(t, up, out):
+        out.append([up, t[0]])
+        here = len(out) - 1
+        for c in t[1:]:
+            rows(c, here, out)
+        return out
+
+    shapes = [(json.dumps(rows(["html"] + [tree(2) for _ in range(3)], -1, [])), n) for n in range(1, 60)]
+    found = html_extract.templates(shapes)
+    assert 1 < len(found) < 59 and sum(n for _, n in found) == sum(n for _, n in shapes)
+    for slot, _ in found:
+        assert html_extract.flat(html_extract.Slot.of(html_extract.tree(html_extract.flat(slot)))) == html_extract.flat(slot)
+
+
 def test_simple_tree_matching_equals_plain_recursion():
     rng = random.Random(7)
 
@@ -443,6 +479,25 @@ def test_vectors_equal_brute_force(spark):
     assert embed_dedup.near_vectors(table.limit(0)).count() == 0
 
 
+def test_vectors_in_buckets_of_several_blocks(spark):
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=32) + rng.normal(size=(700, 32)) * 0.2
+    far = rng.normal(size=(300, 32))
+    v = np.concatenate((near, far)).astype(np.float32)
+    table = spark.createDataFrame([(i, x.tolist(), "one") for i, x in enumerate(v)], "vec_id long, embedding array<float>, label string")
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_vectors(table).collect()}
+    assert want.sum() > 10_000 and all(got[i] <= n for i, n in enumerate(want.tolist()))
+    assert sum(got.values()) >= 0.999 * want.sum()
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    p, most = math.acos(0.93) / math.pi, embed_dedup.most_apart()
+    chance = [math.comb(embed_dedup.SKETCH, k) * p**k * (1 - p) ** (embed_dedup.SKETCH - k) for k in range(embed_dedup.SKETCH + 1)]
+    assert sum(chance[most + 1 :]) <= 1e-6 < sum(chance[most:])
+
+
 def test_tables_keep_the_miss_probability():
     for bits in (6, 10, 20):
         agree = (1 - math.acos(0.93) / math.pi) ** bits
