@@ -81,6 +81,12 @@ def early(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.events(spark, sf).where(F.col("ts") < F.lit(FIRST_RUN_ENDS).cast("timestamp_ntz"))
 
 
+def late(spark: SparkSession, sf: str) -> DataFrame:
+    """What the log has got when a second run comes: all the rest, rows without a time too."""
+    is_early = F.col("ts") < F.lit(FIRST_RUN_ENDS).cast("timestamp_ntz")
+    return feeds.events(spark, sf).where(~F.coalesce(is_early, F.lit(False)))
+
+
 # Scans
 
 
@@ -529,14 +535,23 @@ def merge_posts_by_parts(spark, sf):
 RUN_AT = dt.datetime(2024, 1, 20, 6)
 
 
+LOG_BLOCK = 16 << 20
+
+
 def ingested(spark, sf, feed, messages, topic) -> DataFrame:
-    """Two runs, the second after the offsets of the first: rows, broken text, offsets, counts."""
+    """Two runs, the second after the offsets of the first: rows, broken text, offsets, counts.
+
+    The log grows between them. Its files and row groups are even, however the events lie in theirs, so
+    that reading it uses all cores.
+    """
     base = scratch_dir(spark, "ingest")
     rows, offsets = f"{base}/rows", f"{base}/offsets"
     runs = []
-    for k, events in enumerate((early(spark, sf), feeds.events(spark, sf))):
-        feeds.with_broken(messages(events)).write.parquet(f"{base}/log{k}")
-        sent = log.replay_resumed(spark.read.parquet(f"{base}/log{k}"), offsets, topic, GROUP)
+    for k, events in enumerate((early(spark, sf), late(spark, sf))):
+        added = feeds.with_broken(messages(events.repartition("event_id")))
+        added.write.option("parquet.block.size", LOG_BLOCK).parquet(f"{base}/log{k}")
+        grown = spark.read.parquet(*[f"{base}/log{i}" for i in range(k + 1)])
+        sent = log.replay_resumed(grown, offsets, topic, GROUP)
         at = RUN_AT + dt.timedelta(hours=k)
         runs.append(plans.ingest(feed, sent, rows, offsets, topic, GROUP, EXEC_DATE, at, now()))
     place = ["kafkapartition", "kafkaoffset"]

@@ -68,14 +68,23 @@ def keep_broken(feed: Feed, messages: DataFrame, run: str, base: str, exec_date:
     """
     spark = messages.sparkSession
     held = spark.read.schema("kafkapartition INT, kafkaoffset BIGINT").parquet(run)
-    # one row for each log partition
-    ends = held.groupBy("kafkapartition").agg(F.max("kafkaoffset").alias("_end"))
-    text = decode_json(messages, feed.json_schema, BROKEN).where(F.col(BROKEN).isNotNull())
-    text = text.join(F.broadcast(ends), "kafkapartition").where("kafkaoffset <= _end")
     path = broken_path(base, run)
-    kept = text.select("kafkapartition", "kafkaoffset", BROKEN, F.lit(exec_date).alias("execdate"))
-    kept.write.mode("overwrite").parquet(path)
-    return messages.sparkSession.read.parquet(path).count()
+    broken_texts(feed, messages, held, exec_date).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).count()
+
+
+def broken_texts(feed: Feed, messages: DataFrame, held: DataFrame, exec_date: str) -> DataFrame:
+    """Text of the messages up to the offsets in ``held`` that are no JSON.
+
+    The text is looked at only where the offset fits. As a plain filter, Spark would parse each
+    message before the joins of a replay, also those that earlier runs have read.
+    """
+    # one row for each log partition
+    ends = held.groupBy(F.col("kafkapartition").alias("partition")).agg(F.max("kafkaoffset").alias("_end"))
+    near = messages.join(F.broadcast(ends), "partition")
+    fits = near.withColumn("value", F.when(F.col("offset") <= F.col("_end"), F.col("value")))
+    text = decode_json(fits, feed.json_schema, BROKEN).where(F.col(BROKEN).isNotNull())
+    return text.select("kafkapartition", "kafkaoffset", BROKEN, F.lit(exec_date).alias("execdate"))
 
 
 def count_rows(spark: SparkSession, feed: Feed, path: str) -> tuple[int, int]:
